@@ -30,6 +30,13 @@ def _bucket(digest: str) -> Column:
     return F.substring(digest, 1, BUCKET_DIGITS)
 
 
+def _unless_tied(neighbour: Column, digest: str, value: Column) -> Column:
+    """``value``, or a failed query when two rows share a key: a draw over them would not be exact."""
+    return F.when(
+        neighbour == F.col(digest), F.raise_error(F.lit("the key of a seeded order must identify a row"))
+    ).otherwise(value)
+
+
 def digest_histogram(df: DataFrame, label: str, digest: str = "_digest") -> DataFrame:
     """Rows per (class, digest bucket), with the running total before each bucket."""
     counted = df.groupBy(label, _bucket(digest).alias("_bucket")).agg(F.count("*").alias("_n"))
@@ -45,13 +52,10 @@ class DigestCuts:
     """Digests at which given per-class ranks are reached.
 
     ``wanted`` holds (label, cut, upto): the rank, counted in seeded order within
-    the class, of the last row that lies before the cut. The histogram locates the
-    bucket of each cut, only the rows of those buckets are ranked, and the exact
-    digest found there turns the selection into a comparison: the wide rows are
-    read once, filtered, and never shuffled.
-
-    Labels are classes, so the lookup table has classes x cuts entries. It is
-    read as a scalar subquery.
+    the class, of the last row that lies before the cut. One pass counts rows per
+    bucket and finds the bucket of each cut, a second pass ranks only the rows of
+    those buckets. What is fitted, one digest per class and cut, then selects rows
+    by comparison: the wide rows are read once, filtered, and never shuffled.
     """
 
     def __init__(self, df: DataFrame, wanted: DataFrame, histogram: DataFrame, label: str, digest: str = "_digest"):
@@ -60,28 +64,37 @@ class DigestCuts:
             histogram.join(wanted.where(F.col("upto") > 0), label)
             .where((F.col("_before") < F.col("upto")) & (F.col("upto") <= ends))
             .select(label, "cut", "_bucket", (F.col("upto") - F.col("_before")).alias("_rank"))
+            .collect()
         )
-        name = F.concat(F.col(label).cast("string"), F.lit(":"), F.col("_bucket"))
-        buckets = located.agg(F.collect_set(name)).scalar()
-        edge = (
-            df.select(label, digest, _bucket(digest).alias("_bucket"))
-            .where(F.array_contains(buckets, name))
-            .join(located, [label, "_bucket"])
-        )
-        ordered = Window.partitionBy(label, "cut", "_bucket").orderBy(digest)
+        self._label, self._digest, self._cuts = label, digest, {}
+        if not located:
+            return
+        in_bucket = F.lit(False)
+        for place in {(row[label], row["_bucket"]) for row in located}:
+            in_bucket = in_bucket | ((F.col(label) == place[0]) & (F.col("_bucket") == place[1]))
+        at_rank = F.lit(False)
+        for place in {(row[label], row["_bucket"], row["_rank"]) for row in located}:
+            here = (F.col(label) == place[0]) & (F.col("_bucket") == place[1]) & (F.col("_rn") == place[2])
+            at_rank = at_rank | here
+        ordered = Window.partitionBy(label, "_bucket").orderBy(digest)
         exact = (
-            edge.withColumn("_rn", F.row_number().over(ordered))
-            .where(F.col("_rn") == F.col("_rank"))
-            .select(F.concat(F.col(label).cast("string"), F.lit(":"), F.col("cut")).alias("name"), digest)
+            df.select(label, digest, _bucket(digest).alias("_bucket"))
+            .where(in_bucket)
+            .withColumns({"_rn": F.row_number().over(ordered), "_next": F.lead(digest).over(ordered)})
+            .where(at_rank)
+            .select(label, "_bucket", "_rn", _unless_tied(F.col("_next"), digest, F.col(digest)).alias(digest))
         )
-        self._table = exact.agg(F.map_from_entries(F.collect_list(F.struct("name", digest)))).scalar()
-        self._label = label
-        self._digest = digest
+        found = {(row[label], row["_bucket"], row["_rn"]): row[digest] for row in exact.collect()}
+        for row in located:
+            cut = self._cuts.setdefault(row["cut"], {})
+            cut[row[label]] = found[row[label], row["_bucket"], row["_rank"]]
 
     def reached(self, cut: str) -> Column:
-        """True for rows up to the cut of their class; null where the cut takes no row."""
-        name = F.concat(F.col(self._label).cast("string"), F.lit(":"), F.lit(cut))
-        return F.col(self._digest) <= F.try_element_at(self._table, name)
+        """True for rows up to the cut of their class; false where the cut takes no row."""
+        inside = F.lit(False)
+        for cls, upto in self._cuts.get(cut, {}).items():
+            inside = inside | ((F.col(self._label) == cls) & (F.col(self._digest) <= upto))
+        return inside
 
 
 def seeded_rank(df: DataFrame, by: Sequence[str], key: str | Sequence[str], seed: int = SEED, name: str = "rn") -> DataFrame:
@@ -99,7 +112,8 @@ def seeded_rank(df: DataFrame, by: Sequence[str], key: str | Sequence[str], seed
     offsets = counted.select(*groups, "_bucket", (F.sum("_n").over(running) - F.col("_n")).alias("_before"))
     joined = keyed.join(offsets, [*groups, "_bucket"], "left")
     ordered = Window.partitionBy(*groups, "_bucket").orderBy("_digest")
-    ranked = joined.withColumn(name, F.col("_before") + F.row_number().over(ordered))
+    rank = F.col("_before") + F.row_number().over(ordered)
+    ranked = joined.withColumn(name, _unless_tied(F.lag("_digest").over(ordered), "_digest", rank))
     return ranked.select(*df.columns, name)
 
 

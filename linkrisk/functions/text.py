@@ -14,8 +14,8 @@ SITEMAP_LOCATIONS = [
 
 
 def is_nonblank(line: Column) -> Column:
-    """True for a line with any character that is not white space."""
-    return line.rlike(r"\S")
+    """True for a line with any character that is not (Unicode) white space."""
+    return line.rlike(r"[^\s\x0B\x1C-\x1F\x85\p{Z}]")
 
 
 def has_http_scheme(url: Column) -> Column:

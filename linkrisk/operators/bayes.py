@@ -15,7 +15,7 @@ VAR_SMOOTHING = 1e-9
 
 
 def class_priors(df: DataFrame, label: str) -> DataFrame:
-    """(label, n, prior), with the total of the priors below each class."""
+    """(label, n, prior) of every class."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
     everything = Window.partitionBy(F.lit(0))
     return counts.withColumn("prior", F.col("n") / F.sum("n").over(everything))
@@ -23,18 +23,18 @@ def class_priors(df: DataFrame, label: str) -> DataFrame:
 
 def majority_baseline(train: DataFrame, rows: DataFrame, label: str) -> DataFrame:
     """The most frequent training class for every row, with one-hot probability."""
-    top = class_priors(train, label).orderBy(F.col("n").desc(), label).limit(1).select(label).scalar()
-    return rows.withColumn("prediction", top).withColumn("score", (F.col("prediction") == 1).cast("double"))
+    top = class_priors(train, label).orderBy(F.col("n").desc(), label).first()[label]
+    return rows.withColumn("prediction", F.lit(top)).withColumn("score", (F.col("prediction") == 1).cast("double"))
 
 
 def stratified_baseline(
     train: DataFrame, rows: DataFrame, label: str, key: str | Sequence[str], seed: int = schemas.SEED
 ) -> DataFrame:
     """A class drawn with the training share of class 1; the draw comes from the row's digest."""
-    prior = class_priors(train, label).agg(F.coalesce(F.max(F.when(F.col(label) == 1, F.col("prior"))), F.lit(0.0)))
+    prior = class_priors(train, label).where(F.col(label) == 1).first()
     digits = F.substring(seeded_digest(key, seed), 1, 8)
     draw = F.conv(digits, 16, 10).cast("bigint") / F.lit(float(16**8))
-    chosen = (draw < prior.scalar()).cast("int")
+    chosen = (draw < F.lit(prior["prior"] if prior else 0.0)).cast("int")
     return rows.withColumn("prediction", chosen).withColumn("score", F.col("prediction").cast("double"))
 
 
@@ -57,20 +57,17 @@ def gaussian_nb_fit(df: DataFrame, label: str, features: Sequence[str]) -> DataF
 def gaussian_nb_score(model: DataFrame, rows: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     """Adds ``score`` (probability of class 1) and ``prediction`` for a two-class model.
 
-    The model has classes x features rows and is read as one scalar map.
+    The model has classes x features rows; their numbers go into the projection.
     """
-    name = F.concat(F.col(label).cast("string"), F.lit(":"), F.col("feature"))
-    table = model.agg(
-        F.map_from_entries(F.collect_list(F.struct(name, F.struct("prior", "mean", "variance"))))
-    ).scalar()
+    fitted = {(row[label], row["feature"]): row for row in model.collect()}
 
     def joint(cls: int):
-        terms = [F.log(F.element_at(table, f"{cls}:{features[0]}")["prior"])]
+        total = F.lit(math.log(fitted[cls, features[0]]["prior"]))
         for c in features:
-            fit = F.element_at(table, f"{cls}:{c}")
-            distance = (F.col(c) - fit["mean"]) * (F.col(c) - fit["mean"]) / fit["variance"]
-            terms.append(-(F.log(F.lit(2 * math.pi) * fit["variance"]) + distance) / 2)
-        return sum(terms[1:], terms[0])
+            fit = fitted[cls, c]
+            gap = F.col(c) - F.lit(fit["mean"])
+            total = total - (F.lit(math.log(2 * math.pi * fit["variance"])) + gap * gap / F.lit(fit["variance"])) / 2
+        return total
 
     scored = rows.withColumn("_odds", joint(0) - joint(1))
     scored = scored.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(F.least("_odds", F.lit(700.0)))))

@@ -1,7 +1,7 @@
 """Imputation, scaling and class weights.
 
-Statistics are one-row frames; they enter a plan as scalar subqueries, so the
-feature rows are neither joined nor shuffled to be transformed.
+Statistics are fitted once, as one-row frames. Transforming reads that row and puts
+its numbers into the projection, so feature rows are neither joined nor shuffled.
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fill_nulls(df: DataFrame, medians: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null values replaced by the given one-row medians."""
-    row = medians.select(F.struct(*columns)).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), row.getField(c)) for c in columns})
+    row = medians.first()
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(row[c]).cast("double")) for c in columns})
 
 
 def median_impute(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
@@ -61,13 +61,10 @@ def scaler_fit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def zscore(df: DataFrame, scaler: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(value - mean) / deviation; a constant column is only centred."""
-    row = scaler.select(F.struct(*columns)).scalar()
-    scaled = {}
-    for c in columns:
-        stats = row.getField(c)
-        spread = F.coalesce(F.nullif(stats.getField("std"), F.lit(0.0)), F.lit(1.0))
-        scaled[c] = (F.col(c) - stats.getField("mean")) / spread
-    return df.withColumns(scaled)
+    row = scaler.first()
+    return df.withColumns(
+        {c: (F.col(c) - F.lit(row[c]["mean"]).cast("double")) / F.lit(row[c]["std"] or 1.0) for c in columns}
+    )
 
 
 def scale_splits(split: DataFrame, columns: Sequence[str] | None = None, fit_on: Sequence[str] = ("train",)) -> DataFrame:
@@ -84,7 +81,8 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def add_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Class weights as a column, looked up without a join."""
-    weights = balanced_weights(df, label)
-    table = weights.agg(F.map_from_entries(F.collect_list(F.struct(label, "weight")))).scalar()
-    return df.withColumn(name, F.element_at(table, F.col(label)))
+    """Class weights as a column; one number per class is read."""
+    weight = F.lit(None).cast("double")
+    for row in balanced_weights(df, label).collect():
+        weight = F.when(F.col(label) == row[label], row["weight"]).otherwise(weight)
+    return df.withColumn(name, weight)
