@@ -26,18 +26,21 @@ _TOLERANCE = 1e-9
 _CHUNK = 512
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.zeros((0, 0))
+def _distances():
+    """Helpers of the task functions. Built here so that they travel with them to the workers."""
 
+    def matrix(column: pd.Series) -> np.ndarray:
+        return np.stack(column.to_numpy()).astype(np.float64)
 
-def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances of all rows of ``a`` to all rows of ``b``, exactly summed per pair."""
-    gaps = a[:, None, :] - b[None, :, :]
-    return np.einsum("ijk,ijk->ij", gaps, gaps)
+    def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        gaps = a[:, None, :] - b[None, :, :]
+        return np.einsum("ijk,ijk->ij", gaps, gaps)
 
+    def away(vectors: np.ndarray, centres: np.ndarray, chunk: int) -> np.ndarray:
+        parts = [squared(vectors[i : i + chunk], centres) for i in range(0, len(vectors), chunk)]
+        return np.sqrt(np.concatenate(parts))
 
-def _near(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.concatenate([_squared(vectors[i : i + _CHUNK], pivots) for i in range(0, len(vectors), _CHUNK)]))
+    return matrix, squared, away
 
 
 def nearest(train: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -51,11 +54,13 @@ def nearest(train: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
     if not chosen:
         raise ValueError("no training rows")
     centres = np.array([row.vector for row in chosen], dtype=np.float64)
+    matrix, squared, distances = _distances()
+    chunk, tolerance = _CHUNK, _TOLERANCE
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
-                away = _near(_matrix(rows["vector"]), centres)
+                away = distances(matrix(rows["vector"]), centres, chunk)
                 cell = away.argmin(axis=1)
                 yield rows.assign(cell=cell.astype("int32"), away=away[np.arange(len(rows)), cell])
 
@@ -79,11 +84,11 @@ def nearest(train: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            for start in range(0, len(rows), _CHUNK):
-                part = rows.iloc[start : start + _CHUNK]
-                to_cell = _near(_matrix(part["vector"]), centres[cell_ids])
+            for start in range(0, len(rows), chunk):
+                part = rows.iloc[start : start + chunk]
+                to_cell = distances(matrix(part["vector"]), centres[cell_ids], chunk)
                 upper = np.partition(to_cell[:, inner_cell] + inner_away[None, :], wanted - 1, axis=1)[:, wanted - 1]
-                slack = _TOLERANCE * (1.0 + upper)
+                slack = tolerance * (1.0 + upper)
                 query, cell = np.nonzero(to_cell - radius[None, :] <= (upper + slack)[:, None])
                 yield pd.DataFrame(
                     {
@@ -123,12 +128,12 @@ def nearest(train: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
         if not len(asked) or not len(known):
             return pd.DataFrame({c: [] for c in columns})
         known = known.sort_values("id", kind="stable")
-        base, ids, labels = _matrix(known["vector"]), known["id"].to_numpy(), known["label"].to_numpy()
+        base, ids, labels = matrix(known["vector"]), known["id"].to_numpy(), known["label"].to_numpy()
         step = max(1, 4_000_000 // (base.shape[0] * base.shape[1]))
         found = []
-        vectors, query_ids = _matrix(asked["vector"]), asked["query_id"].to_numpy()
+        vectors, query_ids = matrix(asked["vector"]), asked["query_id"].to_numpy()
         for start in range(0, len(asked), step):
-            away = np.round(_squared(vectors[start : start + step], base), 9)
+            away = np.round(squared(vectors[start : start + step], base), 9)
             order = np.argsort(away, axis=1, kind="stable")[:, :k]
             taken = np.take_along_axis(away, order, axis=1)
             found.append(
