@@ -120,7 +120,9 @@ _learner("naive_bayes", models.BAYES)
 LIGHT = {
     models.FOREST: {"numTrees": 20, "maxDepth": 5},
     models.BOOSTING: {"maxIter": 10, "maxDepth": 3},
-    models.NETWORK: {"hidden": (16,), "maxIter": 100},
+    models.NETWORK: {"hidden": (16,), "maxIter": 50},
+    models.SVM_LINEAR: {"maxIter": 10},
+    models.SVM_RBF: {"maxIter": 10},
 }
 
 

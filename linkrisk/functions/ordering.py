@@ -2,8 +2,8 @@
 
 The seeded order sorts rows by the md5 of seed and row identity. It depends only
 on the data, so every engine, cluster layout and retry yields the same rows. The
-first four hex digits of the digest are a ready-made histogram of that order:
-at most 65,536 evenly filled buckets per class, whatever the table size.
+first hex digits of the digest are a ready-made histogram of that order: 4,096
+evenly filled buckets per class, whatever the table size.
 """
 
 from __future__ import annotations
@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from linkrisk.schemas import SEED
 from linkrisk.session import cut_lineage
 
-BUCKET_DIGITS = 4
+# Hex digits of a digest, digits per histogram level, and rows that one task may rank.
+DIGEST_DIGITS = 32
+BUCKET_DIGITS = 3
+EDGE_ROWS = 1_000_000
 
 
 def seeded_digest(key: str | Sequence[str], seed: int = SEED) -> Column:
@@ -37,63 +40,86 @@ def _unless_tied(neighbour: Column, digest: str, value: Column) -> Column:
     ).otherwise(value)
 
 
-def digest_histogram(df: DataFrame, label: str, digest: str = "_digest") -> DataFrame:
-    """Rows per (class, digest bucket), with the running total before each bucket."""
-    counted = df.groupBy(label, _bucket(digest).alias("_bucket")).agg(F.count("*").alias("_n"))
-    ordered = Window.partitionBy(label).orderBy("_bucket")
-    return counted.withColumn("_before", F.sum("_n").over(ordered) - F.col("_n"))
+class SeededClasses:
+    """Rows of a few classes in seeded order, cut at exact ranks.
 
-
-def class_totals(histogram: DataFrame, label: str) -> DataFrame:
-    return histogram.groupBy(label).agg(F.sum("_n").alias("n"))
-
-
-class DigestCuts:
-    """Digests at which given per-class ranks are reached.
-
-    ``wanted`` holds (label, cut, upto): the rank, counted in seeded order within
-    the class, of the last row that lies before the cut. One pass counts rows per
-    bucket and finds the bucket of each cut, a second pass ranks only the rows of
-    those buckets. What is fitted, one digest per class and cut, then selects rows
-    by comparison: the wide rows are read once, filtered, and never shuffled.
+    A histogram over digest prefixes (classes x 4,096 counts, whatever the table
+    size) tells in which prefix a rank falls. Prefixes that still hold many rows are
+    refined by the next digits; the rows of the last ones are ranked. What remains
+    per class and cut is one digest, so a selection is a comparison: the wide rows
+    are read once, filtered, and never shuffled.
     """
 
-    def __init__(self, df: DataFrame, wanted: DataFrame, histogram: DataFrame, label: str, digest: str = "_digest"):
-        ends = F.col("_before") + F.col("_n")
-        located = (
-            histogram.join(wanted.where(F.col("upto") > 0), label)
-            .where((F.col("_before") < F.col("upto")) & (F.col("upto") <= ends))
-            .select(label, "cut", "_bucket", (F.col("upto") - F.col("_before")).alias("_rank"))
-            .collect()
-        )
-        self._label, self._digest, self._cuts = label, digest, {}
-        if not located:
-            return
-        in_bucket = F.lit(False)
-        for place in {(row[label], row["_bucket"]) for row in located}:
-            in_bucket = in_bucket | ((F.col(label) == place[0]) & (F.col("_bucket") == place[1]))
+    def __init__(self, df: DataFrame, label: str, key: str | Sequence[str], seed: int = SEED):
+        self.rows = df.where(F.col(label).isNotNull()).withColumn("_digest", seeded_digest(key, seed))
+        self._label = label
+        self._first = self._counts(self.rows, BUCKET_DIGITS)
+        self.totals = {cls: sum(n for _, n in buckets) for cls, buckets in self._first.items()}
+        self._cuts: dict[str, dict] = {}
+
+    def _counts(self, rows: DataFrame, digits: int) -> dict:
+        """Class to its (prefix, rows) pairs in order."""
+        counted = rows.groupBy(self._label, F.substring("_digest", 1, digits).alias("_prefix")).agg(F.count("*").alias("_n"))
+        found: dict = {}
+        for row in counted.collect():
+            found.setdefault(row[self._label], []).append((row["_prefix"], row["_n"]))
+        return {cls: sorted(buckets) for cls, buckets in found.items()}
+
+    def _within(self, places: set) -> Column:
+        inside = F.lit(False)
+        for cls, prefix in places:
+            inside = inside | ((F.col(self._label) == cls) & F.col("_digest").startswith(prefix))
+        return inside
+
+    def cut(self, wanted: dict[str, dict]) -> "SeededClasses":
+        """Find the digests for ``wanted``: cut name to class to the rank of its last row."""
+        open_cuts = {(name, cls): ("", n) for name, ranks in wanted.items() for cls, n in ranks.items() if n > 0}
+        counts, digits, edges = self._first, BUCKET_DIGITS, {}
+        while open_cuts:
+            for at, (prefix, rank) in list(open_cuts.items()):
+                for bucket, n in counts[at[1]]:
+                    if not bucket.startswith(prefix):
+                        continue
+                    if rank <= n:
+                        break
+                    rank -= n
+                open_cuts[at] = (bucket, rank)
+                if n <= EDGE_ROWS or digits >= DIGEST_DIGITS:
+                    edges[at] = open_cuts.pop(at)
+            if open_cuts:
+                digits = min(digits + BUCKET_DIGITS, DIGEST_DIGITS)
+                counts = self._counts(
+                    self.rows.where(self._within({(cls, prefix) for (_, cls), (prefix, _) in open_cuts.items()})), digits
+                )
+        digests = self._digests_at({(cls, prefix, rank) for (_, cls), (prefix, rank) in edges.items()})
+        for (name, cls), (prefix, rank) in edges.items():
+            self._cuts.setdefault(name, {})[cls] = digests[cls, prefix, rank]
+        return self
+
+    def _digests_at(self, places: set) -> dict:
+        """(class, prefix, rank) to the digest of the row at that rank of its prefix."""
+        if not places:
+            return {}
+        found = {}
+        prefix_of = F
+        for cls, prefix, _ in sorted(places, key=lambda p: -len(p[1])):
+            prefix_of = prefix_of.when(self._within({(cls, prefix)}), prefix)
+        edge = self.rows.select(self._label, "_digest", prefix_of.alias("_prefix")).where(F.col("_prefix").isNotNull())
+        ordered = Window.partitionBy(self._label, "_prefix").orderBy("_digest")
+        ranked = edge.withColumns({"_rn": F.row_number().over(ordered), "_next": F.lead("_digest").over(ordered)})
         at_rank = F.lit(False)
-        for place in {(row[label], row["_bucket"], row["_rank"]) for row in located}:
-            here = (F.col(label) == place[0]) & (F.col("_bucket") == place[1]) & (F.col("_rn") == place[2])
-            at_rank = at_rank | here
-        ordered = Window.partitionBy(label, "_bucket").orderBy(digest)
-        exact = (
-            df.select(label, digest, _bucket(digest).alias("_bucket"))
-            .where(in_bucket)
-            .withColumns({"_rn": F.row_number().over(ordered), "_next": F.lead(digest).over(ordered)})
-            .where(at_rank)
-            .select(label, "_bucket", "_rn", _unless_tied(F.col("_next"), digest, F.col(digest)).alias(digest))
-        )
-        found = {(row[label], row["_bucket"], row["_rn"]): row[digest] for row in exact.collect()}
-        for row in located:
-            cut = self._cuts.setdefault(row["cut"], {})
-            cut[row[label]] = found[row[label], row["_bucket"], row["_rank"]]
+        for cls, prefix, rank in places:
+            at_rank = at_rank | ((F.col(self._label) == cls) & (F.col("_prefix") == prefix) & (F.col("_rn") == rank))
+        digest = _unless_tied(F.col("_next"), "_digest", F.col("_digest")).alias("_digest")
+        for row in ranked.where(at_rank).select(self._label, "_prefix", "_rn", digest).collect():
+            found[row[self._label], row["_prefix"], row["_rn"]] = row["_digest"]
+        return found
 
     def reached(self, cut: str) -> Column:
         """True for rows up to the cut of their class; false where the cut takes no row."""
         inside = F.lit(False)
         for cls, upto in self._cuts.get(cut, {}).items():
-            inside = inside | ((F.col(self._label) == cls) & (F.col(self._digest) <= upto))
+            inside = inside | ((F.col(self._label) == cls) & (F.col("_digest") <= upto))
         return inside
 
 

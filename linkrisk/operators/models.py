@@ -50,8 +50,8 @@ DEFAULTS = {
     FOREST: {"numTrees": 100, "maxDepth": 10},
     BOOSTING: {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1},
     NETWORK: {"hidden": (64, 32), "maxIter": 500},
-    SVM_RBF: {"C": 1.0, "gamma": "scale"},
-    SVM_LINEAR: {"C": 1.0},
+    SVM_RBF: {"C": 1.0, "gamma": "scale", "maxIter": 100},
+    SVM_LINEAR: {"C": 1.0, "maxIter": 100},
     BAYES: {},
 }
 
@@ -86,6 +86,9 @@ WIDE_GRIDS = {
     },
 }
 
+# Fixed value: stopping tolerance of the support vector machines.
+SVM_TOLERANCE = 1e-3
+
 # Width of the random Fourier features that stand for the RBF kernel.
 RBF_FEATURES = 100
 
@@ -159,14 +162,20 @@ def learner(
     if name == NETWORK:
         layers = [len(features), *chosen["hidden"], 2]
         return [MultilayerPerceptronClassifier(layers=layers, maxIter=chosen["maxIter"], seed=seed, **common)]
-    if name == SVM_LINEAR:
-        penalty = 1.0 / (chosen["C"] * total_weight)
-        return _platt(LinearSVC(weightCol=WEIGHT, regParam=penalty, standardization=False, **common))
-    if name == SVM_RBF:
-        gamma = {"scale": 1.0 / (len(features) * (spread or 1.0)), "auto": 1.0 / len(features)}.get(chosen["gamma"], chosen["gamma"])
-        penalty = 1.0 / (chosen["C"] * total_weight)
-        svm = LinearSVC(weightCol=WEIGHT, regParam=penalty, standardization=False, featuresCol="rbf_features", labelCol=LABEL)
-        return [*_fourier(RBF_FEATURES, float(gamma), features, seed), *_platt(svm)]
+    if name in (SVM_LINEAR, SVM_RBF):
+        svm = LinearSVC(
+            weightCol=WEIGHT,
+            labelCol=LABEL,
+            maxIter=chosen["maxIter"],
+            regParam=1.0 / (chosen["C"] * total_weight),
+            tol=SVM_TOLERANCE,
+            standardization=False,
+        )
+        if name == SVM_LINEAR:
+            return _platt(svm.setFeaturesCol(VECTOR))
+        width = len(features)
+        gamma = {"scale": 1.0 / (width * (spread or 1.0)), "auto": 1.0 / width}.get(chosen["gamma"], chosen["gamma"])
+        return [*_fourier(RBF_FEATURES, float(gamma), features, seed), *_platt(svm.setFeaturesCol("rbf_features"))]
     if name == BAYES:
         return [NaiveBayes(modelType="gaussian", **common)]
     raise ValueError(f"unknown model {name}")

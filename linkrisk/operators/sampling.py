@@ -4,29 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linkrisk import schemas
-from linkrisk.functions.ordering import DigestCuts, class_totals, digest_histogram, seeded_digest, seeded_rank
+from linkrisk.functions.ordering import SeededClasses, seeded_rank
 from linkrisk.operators import dedupe
 
 
-def take_cut(df: DataFrame, label: str, key: str | Sequence[str], seed: int, quota) -> DataFrame:
-    """The first rows of every class in seeded order; ``quota`` maps totals to (label, upto)."""
-    keyed = df.withColumn("_digest", seeded_digest(key, seed))
-    histogram = digest_histogram(keyed.where(F.col(label).isNotNull()), label)
-    wanted = quota(class_totals(histogram, label)).withColumn("cut", F.lit("take"))
-    cuts = DigestCuts(keyed, wanted, histogram, label)
-    return keyed.where(cuts.reached("take")).select(*df.columns)
-
-
 def sample_exact(df: DataFrame, n: int, key: str | Sequence[str], seed: int = schemas.SEED) -> DataFrame:
     """Exactly n rows without replacement, or all rows if there are fewer."""
-    whole = df.withColumn("_class", F.lit(0))
-    taken = take_cut(
-        whole, "_class", key, seed, lambda totals: totals.select("_class", F.least(F.lit(n), F.col("n")).alias("upto"))
-    )
-    return taken.select(*df.columns)
+    classes = SeededClasses(df.withColumn("_class", F.lit(0)), "_class", key, seed)
+    classes.cut({"take": {cls: min(n, rows) for cls, rows in classes.totals.items()}})
+    return classes.rows.where(classes.reached("take")).select(*df.columns)
 
 
 def minority_size(df: DataFrame, label: str) -> DataFrame:
@@ -48,15 +37,11 @@ def balanced_sample(
     An empty class empties the sample: the class size is the smaller of the two,
     and a class that has no rows left counts as 0.
     """
-    candidates = dedupe.exclude_scanned(df, seen)
-
-    def quota(totals: DataFrame) -> DataFrame:
-        over_all = Window.partitionBy(F.lit(0))
-        smallest = F.when(F.count("*").over(over_all) == 2, F.min("n").over(over_all)).otherwise(0)
-        upto = F.least(F.lit(sample_size), smallest) if sample_size is not None else smallest
-        return totals.select(label, upto.alias("upto"))
-
-    return take_cut(candidates, label, key, seed, quota)
+    classes = SeededClasses(dedupe.exclude_scanned(df, seen), label, key, seed)
+    smallest = min(classes.totals.values()) if len(classes.totals) == 2 else 0
+    size = smallest if sample_size is None else min(sample_size, smallest)
+    classes.cut({"take": {cls: size for cls in classes.totals}})
+    return classes.rows.where(classes.reached("take")).select(*df.columns)
 
 
 def class_quota_rank(df: DataFrame, label: str, key: str | Sequence[str], seed: int = schemas.SEED) -> DataFrame:

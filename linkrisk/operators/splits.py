@@ -1,51 +1,54 @@
 """Train, validation and test splits with exact class quotas.
 
 Every split is a column ``split`` on the input rows. Quotas come from the class
-totals (one row per class); rows are placed by comparing their digest with the
+totals, one number per class; rows are placed by comparing their digest with the
 cut digests of their class, so the feature rows themselves are not shuffled.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from linkrisk import schemas
-from linkrisk.functions.ordering import DigestCuts, class_totals, digest_histogram, seeded_digest, seeded_rank
+from linkrisk.functions.ordering import SeededClasses, seeded_rank
 
-_ALL_CLASSES = Window.partitionBy(F.lit(0))
-
-
-def _share_out(totals: DataFrame, label: str, available: Column, part: Column, name: str) -> DataFrame:
+def share_out(available: dict, part: int) -> dict:
     """Split ``part`` rows over the classes by largest remainder; ties fall to the lower class."""
-    everything = F.sum(available).over(_ALL_CLASSES)
-    exact = part * available / everything
-    shared = totals.withColumn("_part", part).withColumn("_exact", exact).withColumn("_base", F.floor("_exact"))
-    left = F.col("_part") - F.sum("_base").over(_ALL_CLASSES)
-    by_remainder = _ALL_CLASSES.orderBy((F.col("_exact") - F.col("_base")).desc(), F.col(label))
-    extra = (F.row_number().over(by_remainder) <= left).cast("bigint")
-    return shared.withColumn(name, (F.col("_base") + extra).cast("bigint")).drop("_part", "_exact", "_base")
+    total = sum(available.values())
+    exact = {cls: part * n / total for cls, n in available.items()} if total else {cls: 0.0 for cls in available}
+    quota = {cls: math.floor(share) for cls, share in exact.items()}
+    by_remainder = sorted(available, key=lambda cls: (quota[cls] - exact[cls], cls))
+    for cls in by_remainder[: part - sum(quota.values())]:
+        quota[cls] += 1
+    return quota
 
 
-def _place(df: DataFrame, label: str, key: str | Sequence[str], seed: int, quotas, order: Sequence[str], rest: str | None) -> DataFrame:
-    """Put rows into the named splits, filled one after the other in seeded order.
+def _place(df: DataFrame, label: str, key: str | Sequence[str], seed: int, quotas, rest: str | None) -> DataFrame:
+    """Put rows into named splits, filled one after the other in seeded order.
 
-    ``quotas`` maps the class totals to one column of running ranks per split.
-    Rows beyond the last cut go to ``rest``, or are left out when it is None.
+    ``quotas`` maps class totals to the rows per class of every split. Rows beyond
+    the last split go to ``rest``, or are left out when it is None.
     """
-    keyed = df.withColumn("_digest", seeded_digest(key, seed))
-    histogram = digest_histogram(keyed.where(F.col(label).isNotNull()), label)
-    wanted = quotas(class_totals(histogram, label)).unpivot(label, list(order), "cut", "upto")
-    cuts = DigestCuts(keyed, wanted, histogram, label)
+    classes = SeededClasses(df, label, key, seed)
+    wanted, filled = {}, {cls: 0 for cls in classes.totals}
+    for name, sizes in quotas(classes.totals).items():
+        filled = {cls: filled[cls] + sizes[cls] for cls in filled}
+        wanted[name] = filled
+    classes.cut(wanted)
     place = F
-    for name in order:
-        place = place.when(cuts.reached(name), name)
-    place = place.otherwise(F.lit(rest))
-    placed = keyed.where(F.col(label).isNotNull()).withColumn("split", place)
+    for name in wanted:
+        place = place.when(classes.reached(name), name)
+    placed = classes.rows.withColumn("split", place.otherwise(F.lit(rest)))
     return placed.where(F.col("split").isNotNull()).select(*df.columns, "split")
 
 
+def _minus(totals: dict, taken: dict) -> dict:
+    return {cls: n - taken[cls] for cls, n in totals.items()}
+
+
 def stratified_split(
     df: DataFrame,
     label: str,
@@ -56,16 +59,12 @@ def stratified_split(
 ) -> DataFrame:
     """Test, then validation out of the rest, class shares kept; all rows are used."""
 
-    def quotas(totals: DataFrame) -> DataFrame:
-        n_all = F.sum("n").over(_ALL_CLASSES)
-        with_test = _share_out(totals, label, F.col("n"), F.ceil(F.lit(test_size) * n_all), "_test")
-        rest = F.col("n") - F.col("_test")
-        of_rest = F.lit(val_size / (1.0 - test_size))
-        n_val = F.ceil(of_rest * F.sum(rest).over(_ALL_CLASSES))
-        with_val = _share_out(with_test, label, rest, n_val, "_val")
-        return with_val.select(label, F.col("_test").alias("test"), (F.col("_test") + F.col("_val")).alias("val"))
+    def quotas(totals: dict) -> dict:
+        test = share_out(totals, math.ceil(test_size * sum(totals.values())))
+        rest = _minus(totals, test)
+        return {"test": test, "val": share_out(rest, math.ceil(val_size / (1.0 - test_size) * sum(rest.values())))}
 
-    return _place(df, label, key, seed, quotas, ["test", "val"], "train")
+    return _place(df, label, key, seed, quotas, "train")
 
 
 def balanced_test_split(
@@ -78,15 +77,13 @@ def balanced_test_split(
 ) -> DataFrame:
     """Equally many test rows per class; the rest is stratified with ``val_size`` of the rest."""
 
-    def quotas(totals: DataFrame) -> DataFrame:
-        half = F.floor(F.floor(F.sum("n").over(_ALL_CLASSES) * F.lit(test_size)) / 2)
-        with_test = totals.withColumn("_test", F.least(F.min("n").over(_ALL_CLASSES), half))
-        rest = F.col("n") - F.col("_test")
-        n_val = F.ceil(F.lit(val_size) * F.sum(rest).over(_ALL_CLASSES))
-        with_val = _share_out(with_test, label, rest, n_val, "_val")
-        return with_val.select(label, F.col("_test").alias("test"), (F.col("_test") + F.col("_val")).alias("val"))
+    def quotas(totals: dict) -> dict:
+        half = math.floor(sum(totals.values()) * test_size) // 2
+        test = {cls: min(half, *totals.values()) for cls in totals}
+        rest = _minus(totals, test)
+        return {"test": test, "val": share_out(rest, math.ceil(val_size * sum(rest.values())))}
 
-    return _place(df, label, key, seed, quotas, ["test", "val"], "train")
+    return _place(df, label, key, seed, quotas, "train")
 
 
 def fully_balanced_split(
@@ -99,13 +96,13 @@ def fully_balanced_split(
 ) -> DataFrame:
     """Every split half and half; the surplus of the larger class is not used, no row is repeated."""
 
-    def quotas(totals: DataFrame) -> DataFrame:
-        smallest = F.min("n").over(_ALL_CLASSES)
-        test = F.floor(smallest * F.lit(test_size))
-        val = F.floor(smallest * F.lit(val_size))
-        return totals.select(label, test.alias("test"), (test + val).alias("val"), smallest.alias("train"))
+    def quotas(totals: dict) -> dict:
+        smallest = min(totals.values(), default=0)
+        test, val = math.floor(smallest * test_size), math.floor(smallest * val_size)
+        sizes = {"test": test, "val": val, "train": smallest - test - val}
+        return {name: {cls: size for cls in totals} for name, size in sizes.items()}
 
-    return _place(df, label, key, seed, quotas, ["test", "val", "train"], None)
+    return _place(df, label, key, seed, quotas, None)
 
 
 def split_data(
@@ -140,7 +137,7 @@ def class_distribution(df: DataFrame, *by: str) -> DataFrame:
     """Rows and share per class, the last of the given columns; null classes are not counted."""
     label = by[-1]
     counts = df.where(F.col(label).isNotNull()).groupBy(*by).agg(F.count("*").alias("n"))
-    outer = Window.partitionBy(*by[:-1]) if len(by) > 1 else _ALL_CLASSES
+    outer = Window.partitionBy(*by[:-1]) if len(by) > 1 else Window.partitionBy(F.lit(0))
     return counts.withColumn("share", F.col("n") / F.sum("n").over(outer))
 
 
