@@ -8,6 +8,7 @@ evenly filled buckets per class, whatever the table size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import QuantileDiscretizer
@@ -21,6 +22,9 @@ DIGEST_DIGITS = 32
 BUCKET_DIGITS = 3
 EDGE_ROWS = 1_000_000
 
+# Distinct values that one task may sort for a running total.
+BIN_ROWS = 1_000_000
+
 
 def seeded_digest(key: str | Sequence[str], seed: int = SEED) -> Column:
     """md5 over seed and key columns. The key must identify a row."""
@@ -65,11 +69,10 @@ class SeededClasses:
             found.setdefault(row[self._label], []).append((row["_prefix"], row["_n"]))
         return {cls: sorted(buckets) for cls, buckets in found.items()}
 
-    def _within(self, places: set) -> Column:
-        inside = F.lit(False)
-        for cls, prefix in places:
-            inside = inside | ((F.col(self._label) == cls) & F.col("_digest").startswith(prefix))
-        return inside
+    def _inside(self, places: set, digits: int) -> Column:
+        """True for rows whose class and prefix are among ``places``; the digest is computed once per row."""
+        names = [f"{cls}:{prefix}" for cls, prefix in sorted(places)]
+        return F.concat(F.col(self._label).cast("string"), F.lit(":"), F.substring("_digest", 1, digits)).isin(names)
 
     def cut(self, wanted: dict[str, dict]) -> "SeededClasses":
         """Find the digests for ``wanted``: cut name to class to the rank of its last row."""
@@ -87,40 +90,38 @@ class SeededClasses:
                 if n <= EDGE_ROWS or digits >= DIGEST_DIGITS:
                     edges[at] = open_cuts.pop(at)
             if open_cuts:
+                inside = self._inside({(cls, prefix) for (_, cls), (prefix, _) in open_cuts.items()}, digits)
                 digits = min(digits + BUCKET_DIGITS, DIGEST_DIGITS)
-                counts = self._counts(
-                    self.rows.where(self._within({(cls, prefix) for (_, cls), (prefix, _) in open_cuts.items()})), digits
-                )
-        digests = self._digests_at({(cls, prefix, rank) for (_, cls), (prefix, rank) in edges.items()})
+                counts = self._counts(self.rows.where(inside), digits)
+        digests = {}
+        for length in {len(prefix) for prefix, _ in edges.values()}:
+            places = {(cls, prefix, rank) for (_, cls), (prefix, rank) in edges.items() if len(prefix) == length}
+            digests.update(self._digests_at(places, length))
         for (name, cls), (prefix, rank) in edges.items():
             self._cuts.setdefault(name, {})[cls] = digests[cls, prefix, rank]
         return self
 
-    def _digests_at(self, places: set) -> dict:
+    def _digests_at(self, places: set, digits: int) -> dict:
         """(class, prefix, rank) to the digest of the row at that rank of its prefix."""
-        if not places:
-            return {}
-        found = {}
-        prefix_of = F
-        for cls, prefix, _ in sorted(places, key=lambda p: -len(p[1])):
-            prefix_of = prefix_of.when(self._within({(cls, prefix)}), prefix)
-        edge = self.rows.select(self._label, "_digest", prefix_of.alias("_prefix")).where(F.col("_prefix").isNotNull())
+        edge = self.rows.select(self._label, "_digest").where(self._inside({(c, p) for c, p, _ in places}, digits))
+        prefix = F.substring("_digest", 1, digits).alias("_prefix")
         ordered = Window.partitionBy(self._label, "_prefix").orderBy("_digest")
-        ranked = edge.withColumns({"_rn": F.row_number().over(ordered), "_next": F.lead("_digest").over(ordered)})
+        ranked = edge.select("*", prefix).withColumns(
+            {"_rn": F.row_number().over(ordered), "_next": F.lead("_digest").over(ordered)}
+        )
         at_rank = F.lit(False)
-        for cls, prefix, rank in places:
-            at_rank = at_rank | ((F.col(self._label) == cls) & (F.col("_prefix") == prefix) & (F.col("_rn") == rank))
+        for cls, start, rank in places:
+            at_rank = at_rank | ((F.col(self._label) == cls) & (F.col("_prefix") == start) & (F.col("_rn") == rank))
         digest = _unless_tied(F.col("_next"), "_digest", F.col("_digest")).alias("_digest")
-        for row in ranked.where(at_rank).select(self._label, "_prefix", "_rn", digest).collect():
-            found[row[self._label], row["_prefix"], row["_rn"]] = row["_digest"]
-        return found
+        chosen = ranked.where(at_rank).select(self._label, "_prefix", "_rn", digest)
+        return {(row[self._label], row["_prefix"], row["_rn"]): row["_digest"] for row in chosen.collect()}
 
     def reached(self, cut: str) -> Column:
-        """True for rows up to the cut of their class; false where the cut takes no row."""
-        inside = F.lit(False)
-        for cls, upto in self._cuts.get(cut, {}).items():
-            inside = inside | ((F.col(self._label) == cls) & (F.col("_digest") <= upto))
-        return inside
+        """True for rows up to the cut of their class; null where the cut takes no row."""
+        upto = F.lit(None).cast("string")
+        for cls, digest in self._cuts.get(cut, {}).items():
+            upto = F.when(F.col(self._label) == cls, digest).otherwise(upto)
+        return F.col("_digest") <= upto
 
 
 def seeded_rank(df: DataFrame, by: Sequence[str], key: str | Sequence[str], seed: int = SEED, name: str = "rn") -> DataFrame:
@@ -161,16 +162,19 @@ def number_rows(df: DataFrame, order_by: Sequence[str | Column], name: str, star
     return joined.select(*df.columns, number.cast("bigint").alias(name))
 
 
-def running_totals(counted: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], bins: int = 1024) -> DataFrame:
+def running_totals(counted: DataFrame, by: Sequence[str], value: str, sums: Sequence[str]) -> DataFrame:
     """Adds ``<sum>_before``: the total over all smaller values of the same group.
 
     ``counted`` holds one row per (by, value), so a value shared by many rows weighs
-    as much as a rare one. Quantile bins keep the order, and totals run over bins
-    first and over the values of one bin second: no task sorts a whole group.
+    as much as a rare one. Beyond ``BIN_ROWS`` such rows, quantile bins that keep the
+    order are totalled first and the values inside each bin second: no task sorts
+    more than about one bin.
     """
     counted = cut_lineage(counted)
-    if counted.isEmpty():
-        return counted.select("*", *[F.lit(0).cast("bigint").alias(f"{s}_before") for s in sums])
+    bins = math.ceil(counted.count() / BIN_ROWS)
+    if bins < 2:
+        over_values = Window.partitionBy(*by).orderBy(value)
+        return counted.select("*", *[(F.sum(s).over(over_values) - F.col(s)).alias(f"{s}_before") for s in sums])
     binner = QuantileDiscretizer(
         inputCol=value, outputCol="_bin", numBuckets=bins, relativeError=0.25 / bins, handleInvalid="keep"
     )

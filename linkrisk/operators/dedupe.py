@@ -13,13 +13,16 @@ def first_seen(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     The minimum is taken on the map side first, so a URL that fills a third of
     the feed travels as one row per task.
     """
+    if len(order_by) == 1:
+        return df.groupBy(key).agg(F.min(order_by[0]).alias(order_by[0]))
     first = df.groupBy(key).agg(F.min(F.struct(*order_by)).alias("_first"))
     return first.select(key, "_first.*")
 
 
 def last_wins(df: DataFrame, key: str, value: str, order_by: Sequence[str]) -> DataFrame:
     """(key, value) with the value of the last row in the given order."""
-    return df.groupBy(key).agg(F.max_by(value, F.struct(*order_by)).alias(value))
+    last = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
+    return df.groupBy(key).agg(F.max_by(value, last).alias(value))
 
 
 def latest_by_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:

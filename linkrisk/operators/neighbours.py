@@ -17,8 +17,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from linkrisk.schemas import SEED
 from linkrisk.functions.ordering import seeded_digest
+from linkrisk.schemas import SEED
+from linkrisk.session import cut_lineage
 
 PIVOTS = 64
 GROUP_ROWS = 20000
@@ -64,7 +65,7 @@ def nearest(train: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
                 cell = away.argmin(axis=1)
                 yield rows.assign(cell=cell.astype("int32"), away=away[np.arange(len(rows)), cell])
 
-    celled = train.mapInPandas(assign, "id bigint, label int, vector array<double>, cell int, away double")
+    celled = cut_lineage(train.mapInPandas(assign, "id bigint, label int, vector array<double>, cell int, away double"))
 
     closest = Window.partitionBy("cell").orderBy("away")
     inner = celled.select("cell", "away").withColumn("_rn", F.row_number().over(closest)).where(F.col("_rn") <= k)

@@ -41,8 +41,8 @@ def _place(df: DataFrame, label: str, key: str | Sequence[str], seed: int, quota
     place = F
     for name in wanted:
         place = place.when(classes.reached(name), name)
-    placed = classes.rows.withColumn("split", place.otherwise(F.lit(rest)))
-    return placed.where(F.col("split").isNotNull()).select(*df.columns, "split")
+    used = classes.rows if rest else classes.rows.where(classes.reached(name))
+    return used.withColumn("split", place.otherwise(F.lit(rest))).select(*df.columns, "split")
 
 
 def _minus(totals: dict, taken: dict) -> dict:

@@ -120,16 +120,24 @@ def test_numbers_follow_the_order(spark):
     assert all(r.no == r.k for r in got) and len(got) == 1000
 
 
+@pytest.fixture
+def small_bins(monkeypatch):
+    """Makes running totals use bins of about five values."""
+    monkeypatch.setattr(ordering, "BIN_ROWS", 5)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.one_of(st.none(), st.integers(-3, 3), st.floats(-1e9, 1e9)), min_size=1, max_size=60))
-def test_medians_equal_the_definition(spark, values):
+def test_medians_equal_the_definition(spark, small_bins, values):
     rows = spark.createDataFrame([(None if v is None else float(v),) for v in values], "v DOUBLE")
     known = [float(v) for v in values if v is not None]
     got = prep.column_medians(rows, ["v"]).first()[0]
     assert got == (statistics.median(known) if known else None)
 
 
-def test_even_median_and_hot_value(spark):
+@pytest.mark.parametrize("bin_rows", [10, 1_000_000])
+def test_even_median_and_hot_value(spark, monkeypatch, bin_rows):
+    monkeypatch.setattr(ordering, "BIN_ROWS", bin_rows)
     rows = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,), (None,)], "v DOUBLE")
     assert prep.column_medians(rows, ["v"]).first()[0] == 2.5
     hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id").cast("double")).alias("v"))
@@ -137,7 +145,9 @@ def test_even_median_and_hot_value(spark):
     assert prep.column_medians(hot, ["v"]).first()[0] == statistics.median(values)
 
 
-def test_auc_with_ties_equals_pair_counting(spark):
+@pytest.mark.parametrize("bin_rows", [2, 1_000_000])
+def test_auc_with_ties_equals_pair_counting(spark, monkeypatch, bin_rows):
+    monkeypatch.setattr(ordering, "BIN_ROWS", bin_rows)
     rng = random.Random(1)
     rows = [(rng.randint(0, 1), round(rng.random(), 1)) for _ in range(300)]
     pairs = [(p, n) for lp, p in rows if lp == 1 for ln, n in rows if ln == 0]
