@@ -166,11 +166,11 @@ def running_totals(counted: DataFrame, by: Sequence[str], value: str, sums: Sequ
     """Adds ``<sum>_before``: the total over all smaller values of the same group.
 
     ``counted`` holds one row per (by, value), so a value shared by many rows weighs
-    as much as a rare one. Beyond ``BIN_ROWS`` such rows, quantile bins that keep the
-    order are totalled first and the values inside each bin second: no task sorts
-    more than about one bin.
+    as much as a rare one; it is read several times and should have been written with
+    ``cut_lineage``. Beyond ``BIN_ROWS`` such rows, quantile bins that keep the order
+    are totalled first and the values inside each bin second: no task sorts more than
+    about one bin.
     """
-    counted = cut_lineage(counted)
     bins = math.ceil(counted.count() / BIN_ROWS)
     if bins < 2:
         over_values = Window.partitionBy(*by).orderBy(value)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from linkrisk import schemas
 from linkrisk.functions.ordering import running_totals
 from linkrisk.functions.outcomes import overfit_band
+from linkrisk.session import cut_lineage
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:
@@ -49,7 +50,7 @@ def roc_auc(scored: DataFrame, by: Sequence[str] = ("model", "split")) -> DataFr
     """
     positive = F.count_if(F.col("label") == 1)
     counted = scored.groupBy(*by, "score").agg(positive.alias("pos"), (F.count("*") - positive).alias("neg"))
-    running = running_totals(counted, by, "score", ["neg"])
+    running = running_totals(cut_lineage(counted), by, "score", ["neg"])
     wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
     sums = running.groupBy(*by).agg(wins.alias("wins"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return sums.select(*by, F.try_divide(F.col("wins"), (F.col("p") * F.col("n")).cast("double")).alias("roc_auc"))

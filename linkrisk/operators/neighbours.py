@@ -21,8 +21,12 @@ from linkrisk.functions.ordering import seeded_digest
 from linkrisk.schemas import SEED
 from linkrisk.session import cut_lineage
 
-PIVOTS = 64
+# Most pivots, training rows per pivot that are aimed at, and the largest group of
+# training rows and of queries that one task compares.
+MAX_PIVOTS = 256
+ROWS_PER_PIVOT = 2000
 GROUP_ROWS = 20000
+SLICE_ROWS = 500
 _TOLERANCE = 1e-9
 _CHUNK = 512
 
@@ -44,13 +48,22 @@ def _distances():
     return matrix, squared, away
 
 
-def nearest(train: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS, group_rows: int = GROUP_ROWS) -> DataFrame:
+def nearest(
+    train: DataFrame,
+    queries: DataFrame,
+    k: int = 5,
+    pivots: int | None = None,
+    group_rows: int = GROUP_ROWS,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
     """(query_id, id, label, distance2, place): the k nearest training rows of every query.
 
     ``train`` has (id, label, vector), ``queries`` (query_id, vector). Ties in the
     squared distance, rounded to 9 digits, go to the lower id.
     """
-    # At most ``pivots`` rows of the training set, fixed by the parameter.
+    if pivots is None:
+        pivots = max(1, min(MAX_PIVOTS, train.count() // ROWS_PER_PIVOT))
+    # Training rows that serve as pivots; their number is bounded.
     chosen = train.select("vector").orderBy(seeded_digest("id", SEED)).limit(pivots).collect()
     if not chosen:
         raise ValueError("no training rows")
@@ -103,7 +116,7 @@ def nearest(train: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
     visits = queries.mapInPandas(visit, "query_id bigint, vector array<double>, cell int, blocks int")
     # Slices per cell: again one row per pivot.
     load = visits.groupBy("cell").agg(F.count("*").alias("n")).collect()
-    slices = {row.cell: math.ceil(row.n / group_rows) for row in load}
+    slices = {row.cell: math.ceil(row.n / slice_rows) for row in load}
     slice_map = F.create_map(*[F.lit(v) for pair in slices.items() for v in pair]) if slices else F.lit(None).cast("map<int,int>")
     block_map = F.create_map(*[F.lit(int(v)) for c, b in zip(cell_ids, blocks) for v in (c, b)])
     n_slices = F.coalesce(F.element_at(slice_map, F.col("cell")), F.lit(0))
@@ -159,14 +172,14 @@ def nearest(train: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
 
 
 def knn_classify(
-    train: DataFrame, queries: DataFrame, k: int = 5, weights: str = "uniform", pivots: int = PIVOTS, group_rows: int = GROUP_ROWS
+    train: DataFrame, queries: DataFrame, k: int = 5, weights: str = "uniform", pivots: int | None = None
 ) -> DataFrame:
     """(query_id, prediction, score): the class with most votes and its share.
 
     ``weights='distance'`` counts votes by inverse distance; an exact hit decides
     alone. A tie goes to the lower class.
     """
-    found = nearest(train, queries, k, pivots, group_rows)
+    found = nearest(train, queries, k, pivots)
     vote = F.lit(1.0)
     if weights == "distance":
         hit = F.min("distance2").over(Window.partitionBy("query_id")) == 0

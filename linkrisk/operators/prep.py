@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from linkrisk import schemas
 from linkrisk.functions.ordering import running_totals
+from linkrisk.session import cut_lineage
 
 
 def missing_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -29,15 +30,21 @@ def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
     counted = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
+    counted = cut_lineage(counted)
+    # One number per column.
+    totals = {row["column"]: row["total"] for row in counted.groupBy("column").agg(F.sum("n").alias("total")).collect()}
     running = running_totals(counted, ["column"], "value", ["n"])
-    totals = running.groupBy("column").agg(F.sum("n").alias("total"))
-    table = totals.agg(F.map_from_entries(F.collect_list(F.struct("column", "total")))).scalar()
-    total = F.element_at(table, F.col("column"))
-    lower, upper = F.floor((total + 1) / 2), F.floor(total / 2) + 1
     through = F.col("n_before") + F.col("n")
-    middle = ((F.col("n_before") < lower) & (lower <= through)) | ((F.col("n_before") < upper) & (upper <= through))
-    picked = running.where(middle)
-    return picked.agg(*[F.avg(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])
+
+    def covers(position: int):
+        return (F.col("n_before") < position) & (position <= through)
+
+    def median(c: str):
+        total = totals.get(c, 0)
+        middle = covers((total + 1) // 2) | covers(total // 2 + 1)
+        return F.avg(F.when((F.col("column") == c) & middle, F.col("value"))).alias(c)
+
+    return running.agg(*[median(c) for c in columns])
 
 
 def fill_nulls(df: DataFrame, medians: DataFrame, columns: Sequence[str]) -> DataFrame:

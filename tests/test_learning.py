@@ -51,7 +51,7 @@ def brute_force(train, queries, k):
     return found
 
 
-@pytest.mark.parametrize("pivots, group_rows", [(1, 1000), (8, 1000), (8, 7), (500, 3)])
+@pytest.mark.parametrize("pivots, group_rows", [(None, 1000), (8, 1000), (8, 7), (500, 3)])
 def test_neighbours_equal_brute_force(spark, pivots, group_rows):
     rng = np.random.default_rng(3)
     train = [(i, int(i % 2), [float(x) for x in rng.integers(0, 6, 2)]) for i in range(120)]
@@ -60,7 +60,7 @@ def test_neighbours_equal_brute_force(spark, pivots, group_rows):
     known = spark.createDataFrame(train, "id BIGINT, label INT, vector ARRAY<DOUBLE>")
     asked = spark.createDataFrame(queries, "query_id BIGINT, vector ARRAY<DOUBLE>")
     got: dict = {}
-    for r in neighbours.nearest(known, asked, 5, pivots, group_rows).orderBy("query_id", "place").collect():
+    for r in neighbours.nearest(known, asked, 5, pivots, group_rows, group_rows).orderBy("query_id", "place").collect():
         got.setdefault(r.query_id, []).append((r.distance2, r.id))
     assert got == brute_force(train, queries, 5)
 
