@@ -147,9 +147,8 @@ def sitemap_index_locs(spark, sf):
 
 @query("sitemap_index_expand", f"WITH {FOUND} SELECT domain, loc FROM found")
 def sitemap_index_expand(spark, sf):
-    responses = fetched(spark, sf)
-    roots = sitemaps.sitemap_lookup(sitemaps.sitemap_candidates(domains(spark, sf)), responses)
-    return sitemaps.sitemap_index_expand(roots, responses).select("domain", "loc")
+    candidates = sitemaps.sitemap_candidates(domains(spark, sf))
+    return sitemaps.sitemap_index_expand(candidates, fetched(spark, sf)).select("domain", "loc")
 
 
 @query("cap_urls_per_domain", f"WITH {CAPPED} SELECT domain, loc AS url, CAST(url_no AS INTEGER) AS url_no FROM capped")

@@ -1,8 +1,8 @@
 """Domains to URLs: sitemap candidates joined with landed responses.
 
 ``fetched(url, status, body)`` stands for the web: one row per address that was
-retrieved. Expanding a domain is then a fixed number of equi-joins, one per level
-of sitemap indexes, and every level keeps one row per (domain, address).
+retrieved. Expanding a domain is then a fixed number of equi-joins: one per level
+of sitemap indexes, and one that fetches the page lists of all levels.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from linkrisk import schemas
 from linkrisk.functions import text
 from linkrisk.operators.dedupe import new_domains
-from linkrisk.session import cut_lineage
+from linkrisk.session import write_scratch
 
 _DOCUMENT_DDL = "url ARRAY<STRUCT<loc: STRING>>, sitemap ARRAY<STRUCT<loc: STRING>>"
 _XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "ignoreNamespace": "true"}
@@ -60,16 +60,17 @@ def sitemap_lookup(candidates: DataFrame, fetched: DataFrame) -> DataFrame:
     return candidates.join(answered, F.col("url") == F.col("_url")).drop("_url")
 
 
-def _entries(kind: str, locs: Column, place: Column) -> Column:
-    """(kind, place, pos, loc) per address, to be exploded with ``inline``."""
-    return F.transform(
-        locs,
-        lambda loc, pos: F.struct(F.lit(kind).alias("kind"), place.alias("place"), pos.alias("pos"), loc.alias("loc")),
+def parse_responses(fetched: DataFrame, max_children: int = schemas.MAX_INDEX_CHILDREN) -> DataFrame:
+    """(url, pages, children) of all answered sitemaps with any entry: every body is parsed once."""
+    answered = _answered(fetched).select(F.col("_url").alias("url"), sitemap_document(F.col("body")).alias("doc"))
+    parsed = answered.select(
+        "url", page_locs(F.col("doc")).alias("pages"), child_locs(F.col("doc"), max_children).alias("children")
     )
+    return parsed.where((F.size("pages") > 0) | (F.size("children") > 0))
 
 
 def sitemap_index_expand(
-    roots: DataFrame,
+    candidates: DataFrame,
     fetched: DataFrame,
     max_depth: int = schemas.MAX_INDEX_DEPTH,
     max_children: int = schemas.MAX_INDEX_CHILDREN,
@@ -79,27 +80,21 @@ def sitemap_index_expand(
     ``place`` is the candidate number followed by the child numbers on the way
     down; (place, pos) is document order. Children of an index come before the
     page entries of the index itself.
+
+    The way down reads only the child lists of indexes, a small part of the parsed
+    responses; the page lists are joined once, for the sitemaps of all levels together.
     """
-    level = roots.select("domain", F.array("candidate_no").alias("place"), sitemap_document(F.col("body")).alias("doc"))
-    found = None
-    for depth in range(max_depth + 1):
-        last = depth == max_depth
-        listed = [_entries("page", page_locs(F.col("doc")), F.concat("place", F.array(F.lit(max_children))))]
-        if not last:
-            listed.append(_entries("child", child_locs(F.col("doc"), max_children), F.col("place")))
-        entries = level.select("domain", F.inline(F.concat(*listed)))
-        if not last:
-            # Pages and children come from one parse of every body.
-            entries = cut_lineage(entries)
-        pages = entries.where(F.col("kind") == "page").drop("kind")
-        found = pages if found is None else found.unionByName(pages)
-        if last:
-            break
-        steps = entries.where(F.col("kind") == "child")
-        first = steps.groupBy("domain", F.col("loc").alias("url")).agg(
-            F.min(F.concat("place", F.array("pos"))).alias("place")
-        )
-        level = sitemap_lookup(first, fetched).select("domain", "place", sitemap_document(F.col("body")).alias("doc"))
+    parsed = write_scratch(parse_responses(fetched, max_children), "sitemaps")
+    indexes = parsed.where(F.size("children") > 0).select("url", "children")
+    level = candidates.select("domain", F.array("candidate_no").alias("place"), "url")
+    reached = level
+    for _ in range(max_depth):
+        entries = level.join(indexes, "url").select("domain", "place", F.posexplode("children").alias("no", "url"))
+        level = entries.groupBy("domain", "url").agg(F.min(F.concat("place", F.array("no"))).alias("place"))
+        reached = reached.unionByName(level)
+    lists = parsed.where(F.size("pages") > 0).select("url", "pages")
+    after_children = F.concat("place", F.array(F.lit(max_children)))
+    found = reached.join(lists, "url").select("domain", after_children.alias("place"), F.posexplode("pages").alias("pos", "loc"))
     return found
 
 
@@ -125,8 +120,8 @@ def domain_pages(
     max_children: int = schemas.MAX_INDEX_CHILDREN,
 ) -> DataFrame:
     """(domain, url, ...) for all domains whose sitemaps answered."""
-    roots = sitemap_lookup(sitemap_candidates(domains), fetched)
-    return cap_urls_per_domain(sitemap_index_expand(roots, fetched, max_depth, max_children), cap)
+    found = sitemap_index_expand(sitemap_candidates(domains), fetched, max_depth, max_children)
+    return cap_urls_per_domain(found, cap)
 
 
 def urls_per_domain(domains: DataFrame, pages: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -57,6 +56,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Cache a frame that several jobs read; lost blocks are recomputed."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder: later steps read only the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

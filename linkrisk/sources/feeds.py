@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from linkrisk import schemas
 from linkrisk.functions import text
 from linkrisk.functions.ordering import number_rows
 from linkrisk.operators.dedupe import first_seen
@@ -35,17 +36,19 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def read_url_feed(spark: SparkSession, base: str, manifest: DataFrame, label: int = 1) -> DataFrame:
     """(url_id, url, is_phishing) from all files that a manifest lists.
 
-    The list of file names is all that reaches the driver, as in any file scan.
-    URLs keep a trailing carriage return: lines end at the line feed only.
+    The list of file names is all that reaches the driver, as in any file scan, and
+    the same list is broadcast to number the lines' files. URLs keep a trailing
+    carriage return: lines end at the line feed only.
     """
     base = base.rstrip("/")
-    names = [row.file_name for row in manifest.orderBy("file_no").collect()]
-    if not names:
-        return spark.createDataFrame([], "url_id BIGINT, url STRING, is_phishing INT")
+    listed = [(row.file_no, row.file_name) for row in manifest.orderBy("file_no").collect()]
+    if not listed:
+        return spark.createDataFrame([], schemas.FEED_DDL)
+    files = spark.createDataFrame(listed, "file_no BIGINT, file_name STRING")
     marker = base.rsplit("/", 1)[-1] + "/"
-    lines = read_lines(spark, [f"{base}/{name}" for name in names])
-    listed = lines.withColumn("file_name", F.substring_index("file_path", marker, -1)).join(manifest, "file_name")
-    urls = listed.where(text.is_nonblank(F.col("line")) & text.has_http_scheme(F.col("line")))
+    lines = read_lines(spark, [f"{base}/{name}" for _, name in listed])
+    named = lines.withColumn("file_name", F.substring_index("file_path", marker, -1))
+    urls = named.join(F.broadcast(files), "file_name").where(text.is_nonblank(F.col("line")) & text.has_http_scheme(F.col("line")))
     order = ["file_no", "split_start", "position"]
     seen = first_seen(urls.withColumnRenamed("line", "url"), "url", order)
     return number_rows(seen, order, "url_id").select("url_id", "url", F.lit(label).alias("is_phishing"))
