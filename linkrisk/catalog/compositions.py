@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from linkrisk.catalog import base, domains as domain_queries, landed, splitting
 from linkrisk.catalog.base import LABELLED_PAGES, query, table
 from linkrisk.catalog.learning import LIGHT
-from linkrisk.operators import dedupe, models
+from linkrisk.operators import models
 from linkrisk.plans import ingest, scanning, training
 from linkrisk.session import cut_lineage, scratch_path
 from linkrisk.sources import tables

@@ -146,3 +146,10 @@ def unlabeled_audit(spark, sf):
 SELECT DISTINCT {FEATURE_LIST}, url, scan_uuid, is_phishing FROM joined WHERE is_phishing IS NOT NULL""")
 def process_batch(spark, sf):
     return features.labelled_features(docs(spark, sf), _source(spark, sf))
+
+
+@query("drop_duplicate_url_column", f"WITH {LABELS_OF_PAGES} SELECT scan_uuid, url, is_phishing FROM joined")
+def drop_duplicate_url_column(spark, sf):
+    source = _source(spark, sf).withColumnRenamed("url", "phishing_url")
+    joined = features.label_join(features.scan_features_table(docs(spark, sf)), source)
+    return joined.drop(*FEATURE_LIST.split(", "))

@@ -129,3 +129,40 @@ def append_attempts(spark, sf):
             tables.write_batch(ledger_rows(attempts), root, "attempted_scans", batch)
     ledger = tables.read_table(spark, root, "attempted_scans")
     return dedupe.latest_by_key(ledger, ["url"], ["batch"]).select("url", "status")
+
+
+@query("get_table", f"WITH {LABELLED_PAGES} SELECT *, true AS other_is_absent FROM lp")
+def get_table(spark, sf):
+    root = scratch_path(spark, "tables")
+    tables.write_snapshot(base.labelled_pages(spark, sf), root, "labelled_pages")
+    absent = tables.get_table(spark, root, "labelled_pages", 2) is None
+    return tables.get_table(spark, root, "labelled_pages").withColumn("other_is_absent", F.lit(absent))
+
+
+@query("feature_view", f"WITH {LABELLED_PAGES} SELECT url, is_phishing FROM lp")
+def feature_view(spark, sf):
+    tables.feature_view(base.labelled_pages(spark, sf), "page_view", ["url"], ["is_phishing"])
+    return spark.table("page_view")
+
+
+@query("detect_url_column", "SELECT page_id, url, CASE WHEN page_id % 2 = 0 THEN 'phishing_url' ELSE 'url' END AS found FROM pages")
+def detect_url_column(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    sources = [
+        pages.where(F.col("page_id") % 2 == 0).withColumnRenamed("url", "phishing_url"),
+        pages.where(F.col("page_id") % 2 == 1),
+    ]
+    named = [s.select("page_id", F.col(dedupe.url_column(s)).alias("url"), F.lit(dedupe.url_column(s)).alias("found")) for s in sources]
+    return named[0].unionByName(named[1])
+
+
+@query("require_table_column", f"WITH {ATTEMPTS} SELECT DISTINCT url FROM attempts")
+def require_table_column(spark, sf):
+    root = scratch_path(spark, "tables")
+    without_url = table(spark, sf, "lineitem").select("l_orderkey")
+    return dedupe.seen_urls(without_url, base.attempted(spark, sf, "error"), tables.get_table(spark, root, "nothing"))
+
+
+@query("iso_timestamp", """SELECT event_id, replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '') AS ts_text FROM events""")
+def iso_timestamp(spark, sf):
+    return table(spark, sf, "events").select("event_id", text.iso_timestamp(F.col("ts")).alias("ts_text"))

@@ -81,4 +81,5 @@ def subdomain_count(domain: Column) -> Column:
 
 
 def iso_timestamp(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    """ISO text of a time, microseconds only if there are any."""
+    return F.regexp_replace(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.0{6}$", "")
