@@ -34,10 +34,13 @@ def label_join(
     """
     column = url_column(source)
     right = source.select(F.col(column).alias("_url"), label)
+    if not null_safe:
+        right = right.where(F.col("_url").isNotNull())
     if not keep_copies:
         right = right.distinct()
-    same = F.col("url").eqNullSafe(F.col("_url")) if null_safe else F.col("url") == F.col("_url")
-    return features.join(right, same, "left").drop("_url")
+    # Without null URLs on the right this is plain equality, but Spark adds no null
+    # filter on the left, which would parse every scan document a second time.
+    return features.join(right, F.col("url").eqNullSafe(F.col("_url")), "left").drop("_url")
 
 
 def drop_unlabeled(features: DataFrame, label: str = "is_phishing") -> DataFrame:

@@ -29,8 +29,9 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from linkrisk import schemas
-from linkrisk.functions import outcomes
+from linkrisk.functions import outcomes, scan
 from linkrisk.operators import prep
+from linkrisk.sources.scans import read_scan_documents
 
 LABEL = "label"
 WEIGHT = "weight"
@@ -335,16 +336,13 @@ def batch_score(model: PipelineModel, rows: DataFrame, *keep: str) -> DataFrame:
 
 def score_scans(model: PipelineModel, docs: DataFrame, json_column: str = "document") -> DataFrame:
     """Scan documents to predictions; a document that cannot be read becomes an ERROR row."""
-    from linkrisk.functions import scan
-    from linkrisk.sources.scans import read_scan_documents
-
     doc = F.col("doc")
-    parsed = read_scan_documents(docs, json_column)
-    usable = F.coalesce(F.try_parse_json(F.col(json_column)).isNotNull(), F.lit(False)) & (F.col(json_column) != "{}")
+    parsed = read_scan_documents(docs, json_column, keep_broken=True)
+    empty = F.coalesce(F.trim(json_column), F.lit("")).isin("", "{}", "null")
     rows = parsed.select(
         *scan.feature_columns(doc),
         F.coalesce(scan.scan_uuid(doc), F.lit("N/A")).alias("scan_uuid"),
-        F.coalesce(usable, F.lit(False)).alias("_usable"),
+        (doc["_corrupt_record"].isNull() & ~empty).alias("_usable"),
     )
     scored = batch_score(model, rows, "scan_uuid", "_usable", *schemas.FEATURES)
     ok = F.col("_usable")

@@ -61,12 +61,15 @@ def sitemap_lookup(candidates: DataFrame, fetched: DataFrame) -> DataFrame:
 
 
 def parse_responses(fetched: DataFrame, max_children: int = schemas.MAX_INDEX_CHILDREN) -> DataFrame:
-    """(url, pages, children) of all answered sitemaps with any entry: every body is parsed once."""
+    """(url, pages, children) of all answered responses.
+
+    A filter on the lists would be pushed below the parse and repeat it, so empty
+    ones are left to the readers of the written table.
+    """
     answered = _answered(fetched).select(F.col("_url").alias("url"), sitemap_document(F.col("body")).alias("doc"))
-    parsed = answered.select(
+    return answered.select(
         "url", page_locs(F.col("doc")).alias("pages"), child_locs(F.col("doc"), max_children).alias("children")
     )
-    return parsed.where((F.size("pages") > 0) | (F.size("children") > 0))
 
 
 def sitemap_index_expand(
