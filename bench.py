@@ -1,8 +1,8 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR names the tables (default sf0.1), BENCH_CPUS the local cores.
-Every query runs once to warm up and three times for the median; its rows are
-written to the no-op sink, so that all of them are computed and none collected.
+Every query runs once to warm up, then BENCH_RUNS times (default 2) for the median;
+its rows are written to the no-op sink, so that all are computed and none collected.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ HEADLINE = [
     "logistic_regression",
     "batch_score",
 ]
-RUNS = 3
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def main() -> None:
