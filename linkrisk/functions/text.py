@@ -66,7 +66,7 @@ def home_url_if_none(domain: Column, urls: Column) -> Column:
 
 def clean_utf8(raw: Column) -> Column:
     """Valid UTF-8 text from raw bytes, without the undecodable ones."""
-    return F.replace(F.make_valid_utf8(raw.cast("string")), F.lit("�"))
+    return F.replace(F.make_valid_utf8(raw.cast("string")), F.lit("\ufffd"))
 
 
 def url_length(url: Column) -> Column:

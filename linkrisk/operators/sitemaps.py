@@ -18,7 +18,7 @@ _DOCUMENT_DDL = "url ARRAY<STRUCT<loc: STRING>>, sitemap ARRAY<STRUCT<loc: STRIN
 _XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "ignoreNamespace": "true"}
 _NAMESPACE_VALUE = r"\s*=\s*[\"']" + schemas.SITEMAP_NAMESPACE.replace(".", r"\.") + r"[\"']"
 _ROOT_WITH_NAMESPACE = (
-    r"^﻿?\s*(?:<\?[^>]*\?>\s*|<!--[\s\S]*?-->\s*|<!DOCTYPE[^>]*>\s*)*"
+    r"^\x{FEFF}?\s*(?:<\?[^>]*\?>\s*|<!--[\s\S]*?-->\s*|<!DOCTYPE[^>]*>\s*)*"
     r"(?:<(?:urlset|sitemapindex)\s(?:[^>]*\s)?xmlns" + _NAMESPACE_VALUE + r"[^>]*>"
     r"|<([\w.-]+):(?:urlset|sitemapindex)\s(?:[^>]*\s)?xmlns:\1" + _NAMESPACE_VALUE + r"[^>]*>)"
 )
