@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from linkrisk import schemas
 from linkrisk.functions.ordering import number_rows
@@ -64,8 +64,9 @@ def ingest_urls(
     stored = {
         FEED_TABLE: load_feed(spark, root, feed_base, manifest_path),
         RANKED_TABLE: load_ranked(spark, root, ranked_path),
-        PROGRESS_TABLE: collect_new_domain_urls(spark, root, fetched, n),
     }
-    urls = legit_urls(stored[PROGRESS_TABLE].withColumn("is_phishing", F.lit(0)))
-    stored[LEGIT_TABLE] = tables.write_snapshot(urls, root, LEGIT_TABLE, LEGIT_VERSION)
+    progress = collect_new_domain_urls(spark, root, fetched, n)
+    if progress is not None:
+        stored[PROGRESS_TABLE] = progress
+        stored[LEGIT_TABLE] = tables.write_snapshot(legit_urls(progress), root, LEGIT_TABLE, LEGIT_VERSION)
     return stored
