@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkrisk.llm import bucket_digest, mixing, repetition, sharding, simhash
+from linkrisk.llm import archives, bucket_digest, language, licenses, mixing, packing, repetition, sharding, simhash, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -97,3 +97,58 @@ def op4_repetition(spark, sf):
 def op8_simhash(spark, sf):
     """SimHash fingerprints of all documents and the components they form."""
     return simhash.classes(documents(spark, sf))
+
+
+@query("op7_language")
+def op7_language(spark, sf):
+    """The language of every document, learnt from those that are not held out."""
+    return language.identify(documents(spark, sf)).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_templates")
+def op9_templates(spark, sf):
+    """The main text of every page."""
+    return templates.main_text(pages(spark, sf))
+
+
+def _license_sql() -> str:
+    known = ", ".join(f"'{text}': '{name}'" for name, text in licenses.SENTENCES.items())
+    left = "';' || array_to_string(list_transform(ids, lambda i: i || ';'), ';')"
+    steps, hits = [], []
+    for number, (_, _, sequence) in enumerate(licenses.RULES):
+        pattern = "".join(f";{i};" for i in sequence)
+        steps.append(f"r{number} AS (SELECT *, contains(left{number}, '{pattern}') AS hit{number}, replace(left{number}, '{pattern}', ';#;') AS left{number + 1} FROM {f'r{number - 1}' if number else 'started'})")
+        hits.append(f"CASE WHEN hit{number} THEN {{}} END")
+    named = lambda k: "[" + ", ".join(h.format(f"'{r[k]}'") for h, r in zip(hits, licenses.RULES)) + "]"
+    return rf"""
+WITH cut AS (
+  SELECT doc_id, list_filter(list_transform(
+    string_split(regexp_replace(coalesce(text, ''), '([.!?])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), chr(10)),
+    lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '') AS sentences FROM documents),
+known AS (SELECT doc_id, CAST(len(sentences) AS BIGINT) AS n_sentences,
+  list_filter(list_transform(sentences, lambda s: MAP {{{known}}}[s]), lambda i: i IS NOT NULL) AS ids FROM cut),
+started AS (SELECT *, {left} AS left0 FROM known),
+{", ".join(steps)}
+SELECT doc_id, n_sentences, array_to_string(ids, ',') AS sentence_ids,
+  array_to_string(list_filter({named(0)}, lambda x: x IS NOT NULL), ',') AS rules,
+  array_to_string(list_sort(list_distinct(list_filter({named(1)}, lambda x: x IS NOT NULL))), ',') AS licenses
+FROM r{len(licenses.RULES) - 1}"""
+
+
+@query("op10_license", _license_sql())
+def op10_license(spark, sf):
+    """Licence sentences, rules and licences of every document, as comma-separated lists."""
+    found = licenses.recognise(documents(spark, sf))
+    return found.select("doc_id", "n_sentences", *[F.array_join(c, ",").alias(c) for c in ("sentence_ids", "rules", "licenses")])
+
+
+@query("op5_packing")
+def op5_packing(spark, sf):
+    """All documents in sequences of 2048 tokens, a row for each piece."""
+    return packing.pack(documents(spark, sf))
+
+
+@query("op6_archives")
+def op6_archives(spark, sf):
+    """All pages through ARC and WARC files, and what the files say of them."""
+    return archives.archive(pages(spark, sf))

@@ -156,14 +156,15 @@ def _probes(chosen: list[tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             all_ = batch.column(0).to_numpy().view(np.uint64)
+            spaces = batch.column(1).to_numpy().astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
             for lo in range(0, len(all_), 4096):
-                fps = all_[lo : lo + 4096]
+                fps, space = all_[lo : lo + 4096], spaces[lo : lo + 4096]
                 for number, ((mask, _), flip) in enumerate(zip(chosen, flips)):
                     value = fps & np.uint64(mask)
                     other = value[:, None] ^ flip[None, :]
                     who, which = np.nonzero(other > value[:, None])
                     salt = np.uint64((number + 1) * 0xD6E8FEB86659FD93 % (1 << 64))
-                    key = _mixed(np.concatenate((value, other[who, which])) ^ salt, 1)
+                    key = _mixed(np.concatenate((value, other[who, which])) ^ salt, 1) ^ np.concatenate((space, space[who]))
                     n = len(key)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -273,19 +274,21 @@ def _links(radius: int):
 
 
 def links(fps: DataFrame, radius: int) -> DataFrame:
-    """Links ``a < b`` between the distinct fingerprints ``fp`` (signed long).
+    """Links ``a < b`` between the distinct fingerprints ``fp`` (signed long) of each ``space``.
 
     Linked fingerprints differ in ``radius`` bits at most, and fingerprints that do are
     connected by links. A key under which more than ``HOT`` fingerprints stand is split by
     radius + 1 further parts of the free bits, one of which must agree, until none is left.
     """
     spark = fps.sparkSession
-    total = fps.count()
+    fps = fps.select("fp", "space")
+    first = fps.where("space = 0")  # the plan of one space serves all
+    total = first.count()
     share = F.pmod(F.xxhash64(F.col("fp"), F.lit("sample")), F.lit(1 << 40)) < F.lit(int((1 << 40) * min(1.0, SAMPLE / max(total, 1))))
-    sample = np.array([r[0] for r in fps.where(share).collect()], dtype=np.int64).view(np.uint64)
+    sample = np.array([r[0] for r in first.where(share).select("fp").collect()], dtype=np.int64).view(np.uint64)
     chosen = plan(np.sort(sample), total, radius)
-    rows = fps.select("fp").mapInArrow(_probes(chosen), _PROBE)
-    own = fps.select("fp").mapInArrow(_probes([(m, 0) for m, _ in chosen]), _PROBE)
+    rows = fps.mapInArrow(_probes(chosen), _PROBE)
+    own = fps.mapInArrow(_probes([(m, 0) for m, _ in chosen]), _PROBE)
     while True:
         hot = own.groupBy("key").count().where(F.col("count") > HOT).select(F.col("key").alias("k"))
         hot = write_scratch(hot, "simhash-hot")
@@ -357,10 +360,74 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int
     marked = fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", ["key"], size)
     marked = write_scratch(marked.select("key", F.col("fps")[0].alias("fp")), "simhash-fingerprints")
     nodes = write_scratch(marked.groupBy("fp").agg(F.min("key").alias("first")), "simhash-nodes")
-    roots = write_scratch(components(links(nodes, radius)), "simhash-roots")
+    roots = write_scratch(components(links(nodes.withColumn("space", F.lit(0)), radius)), "simhash-roots")
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     found = write_scratch(rooted.join(least, "root").select(F.col("fp").alias("f"), "component_id"), "simhash-classes")
     return marked.join(found, F.col("fp") == F.col("f")).select(
         F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+# --- one document of each group -----------------------------------------------------------
+
+
+def _shingle_sets(rows: DataFrame, text: str, size: int) -> DataFrame:
+    """``h`` and the sorted distinct hashes of the shingles of each text."""
+    from linkrisk.llm.common import map_batches
+
+    def sets(columns: dict[str, list]) -> dict[str, list]:
+        hashes = [sorted({xxhash.xxh64_intdigest(s, SEED) for s in shingles(t, size)}) for t in columns["body"]]
+        return {"h": columns["h"], "hashes": [np.array(x, dtype=np.uint64).view(np.int64).tolist() for x in hashes]}
+
+    return map_batches(rows.select("h", F.col(text).cast("binary").alias("body")), sets, "h string, hashes array<long>")
+
+
+def keep_one(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = 4, salts: tuple[int, ...] = (0, 1, 2, 3, 4, 5), size: int = 5, least: float = 0.8
+) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates: that with the least key, all columns as they were.
+
+    Equal texts are one group; null texts count as empty. Other texts are linked if the sets of their ``size``-word shingles
+    have a Jaccard similarity of ``least`` or more, which is computed for all pairs that come within
+    ``radius`` bits in the SimHash of their distinct words under any of the salts. One fingerprint of 64
+    bits would miss many pairs near the bound, several hash functions find nearly all. Of more than
+    ``ALL_PAIRS`` texts under one key only a spanning forest is compared, from the middle outwards.
+    Null keys are the least. Of fully equal (key, text) rows one stays.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    hashed = docs.select(F.col(key).alias("key"), F.md5(body).alias("h"), body.alias("text"))
+    marked = write_scratch(fingerprints(hashed, "text", ["key", "h"], 1, True, salts), "dedupe-fingerprints")
+    nodes = marked.groupBy("h").agg(F.first("fps").alias("fps"), F.min(F.struct("key")).alias("first"))
+    nodes = write_scratch(nodes.select("h", "fps", F.col("first.key").alias("first")), "dedupe-nodes")
+    prints = write_scratch(nodes.select("h", F.posexplode("fps").alias("space", "fp")).groupBy("space", "fp").agg(F.min("h").alias("rep"), F.max("h").alias("other")), "dedupe-prints")
+    near = write_scratch(links(prints, radius), "dedupe-links")
+    reps = prints.select("fp", "rep")
+    across = (
+        near.join(reps.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a")
+        .join(reps.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b")
+        .select("x", "y")
+    )
+    shared = prints.where("rep <> other").select(F.col("space").alias("s"), F.col("fp").alias("f"), "rep")
+    within = nodes.select("h", F.posexplode("fps").alias("space", "fp")).join(shared, (F.col("space") == F.col("s")) & (F.col("fp") == F.col("f")))
+    pairs = across.union(within.select("rep", "h")).where("x <> y")
+    pairs = write_scratch(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "dedupe-pairs")
+    ends = pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct().join(nodes.select("h", "first"), F.col("e") == F.col("h")).select("e", "first")
+    ends = write_scratch(ends, "dedupe-ends")
+    same = (F.col("h") == F.col("e")) & F.col("key").eqNullSafe(F.col("first"))
+    sets = write_scratch(_shingle_sets(hashed.join(ends, same), "text", size).dropDuplicates(["h"]), "dedupe-shingles")
+    both = pairs.join(sets.select(F.col("h").alias("x"), F.col("hashes").alias("p")), "x").join(sets.select(F.col("h").alias("y"), F.col("hashes").alias("q")), "y")
+    common = F.size(F.array_intersect("p", "q"))
+    alike = both.where(common >= F.lit(least) * (F.size("p") + F.size("q") - common)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    roots = write_scratch(components(alike), "dedupe-roots")
+    rooted = nodes.join(roots, F.col("h") == F.col("node"), "left").select("h", "first", F.coalesce("root", "h").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min(F.struct("first", "h")).alias("one")).select("one.first", "one.h")
+    times = marked.groupBy(F.col("h").alias("g"), F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("times"))
+    kept = kept.join(times, (F.col("h") == F.col("g")) & F.col("first").eqNullSafe(F.col("k"))).select(F.col("h").alias("_h"), F.col("first").alias("_first"), "times")
+    kept = write_scratch(kept, "dedupe-kept").withColumnRenamed("times", "_times")
+    found = docs.join(kept, (F.md5(body) == F.col("_h")) & F.col(key).eqNullSafe(F.col("_first")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = found.where("_times = 1").select(*columns)
+    if kept.where("_times > 1").isEmpty():
+        return single
+    return single.unionByName(found.where("_times > 1").dropDuplicates(["_h", "_first"]).select(*columns))
