@@ -10,6 +10,7 @@ the cut ends are packed greedily: laid end to end and cut at the window's length
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -23,8 +24,8 @@ from linkrisk.session import write_scratch
 STEP, DEPTH = 16, 3
 #: Parts in which pieces of a length step, and residual pieces, are numbered.
 PARTS = 1024
-#: Words whose tokens a worker remembers.
-REMEMBERED = 300_000
+#: Word parts whose ids a worker remembers.
+REMEMBERED = 800_000
 
 
 # --- the plan on the histogram ------------------------------------------------------------
@@ -109,32 +110,68 @@ def tokenizer(name: str):
     return Tokenizer.from_file(name)
 
 
+#: Ids of the word parts that this worker has met, as bytes, by tokenizer.
+KNOWN: dict[str, dict[str, bytes]] = {}
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _parts_of(word: bytes) -> tuple[str, ...]:
+    """A word of letters with punctuation behind it as these two, in lower case, any other word as it is.
+
+    The tokenizer lowers case and parts letters from punctuation itself, so both give the same ids. A
+    Greek sigma is left alone, as its lower case depends on its place.
+    """
+    text = word.decode()
+    letters = text.rstrip(PUNCTUATION)
+    lower = letters.lower()
+    if letters.isalpha() and lower.isalpha() and "\u03a3" not in letters:
+        return (lower, text[len(letters) :]) if len(letters) < len(text) else (lower,)
+    return (text,)
+
+
+def encode_texts(texts: list[bytes | None], model, known: dict[str, bytes], kind: str, end: bytes) -> list[bytes]:
+    """The ids of every text, then ``end``; each distinct part of a word is encoded once and kept in ``known``."""
+    split = [(t or b"").split() for t in texts]
+    words = {w: _parts_of(w) for w in set().union(*split)}
+    if len(known) > REMEMBERED:
+        known.clear()
+    new = list({p for parts in words.values() for p in parts if p not in known})
+    letter = "H" if kind == "<u2" else "I"
+    for lo in range(0, len(new), 5_000):
+        part = new[lo : lo + 5_000]
+        for p, e in zip(part, model.encode_batch_fast(part, add_special_tokens=False)):
+            known[p] = struct.pack(f"<{len(e.ids)}{letter}", *e.ids)
+    ids = {w: b"".join([known[p] for p in parts]) for w, parts in words.items()}
+    return [b"".join(map(ids.__getitem__, s)) + end for s in split]
+
+
 def tokens(docs: DataFrame, text: str, key: str, model: str, end: int) -> DataFrame:
     """``row, key, ids, n``: the ids of every whole text, then ``end``, as little-endian numbers of 2 or 4 bytes.
 
-    The tokenizer never joins over ASCII white space, so each distinct word is encoded once
-    and remembered. ``row`` numbers the documents, as the table is written, so equal rows stay apart.
+    The tokenizer never joins over ASCII white space, so words can be encoded on their own.
+    ``row`` numbers the documents, as the table is written, so equal rows stay apart.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model_ = tokenizer(model)
+        from linkrisk.llm import packing
+
+        model_ = packing.tokenizer(model)
         kind = "<u2" if model_.get_vocab_size() <= 1 << 16 else "<u4"
-        width, last, known = int(kind[2]), np.array([end], dtype=kind).tobytes(), {}
+        width, last = int(kind[2]), np.array([end], dtype=kind).tobytes()
+        known = packing.KNOWN.setdefault(model, {})
         for batch in batches:
-            split = [(t or b"").split() for t in batch.column("body").to_pylist()]
-            new = list({w for words in split for w in words if w not in known})
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list({w for words in split for w in words})
-            for lo in range(0, len(new), 10_000):
-                part = new[lo : lo + 10_000]
-                for w, e in zip(part, model_.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                    known[w] = np.array(e.ids, dtype=kind).tobytes()
-            ids = [b"".join(map(known.__getitem__, words)) + last for words in split]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("key"), pa.array(ids, pa.binary()), pa.array([len(i) // width for i in ids], pa.int64())],
-                names=["row", "key", "ids", "n"],
-            )
+            body, lo = batch.column("body"), 0
+            while lo < batch.num_rows:  # some megabytes of text at a time
+                hi, size = lo, 0
+                while hi < batch.num_rows and (hi == lo or size < 8_000_000):
+                    size += len(body[hi].as_buffer() or b"")
+                    hi += 1
+                ids = packing.encode_texts(body.slice(lo, hi - lo).to_pylist(), model_, known, kind, last)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").slice(lo, hi - lo), batch.column("key").slice(lo, hi - lo), pa.array(ids, pa.binary()), pa.array([len(i) // width for i in ids], pa.int64())],
+                    names=["row", "key", "ids", "n"],
+                )
+                lo = hi
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).cast("binary").alias("body"))
     kind = docs.schema[key].dataType.simpleString()
