@@ -25,6 +25,13 @@ def digest60(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("long")
 
 
+def with_fields(kept: DataFrame, more: str):
+    """The schema of ``kept`` followed by the fields of a DDL text; names may hold any characters."""
+    from pyspark.sql.types import StructType
+
+    return StructType([*kept.schema.fields, *StructType.fromDDL(more).fields])
+
+
 def map_batches(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list] | None], schema: str) -> DataFrame:
     """``function`` turns the columns of each Arrow batch, as lists, into columns of the result."""
     from pyspark.sql.types import StructType

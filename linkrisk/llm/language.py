@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from linkrisk.llm.common import map_batches
+from linkrisk.llm.common import map_batches, with_fields
 
 UNKNOWN = "und"
 #: Coordinates of a vector, letters of an n-gram.
@@ -118,7 +118,6 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     names = list(prototypes)
     matrix = np.array([prototypes[n] for n in names]).reshape(len(names), DIMENSIONS)
     source = docs.select(*keep, F.col(text).alias("_text"))
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = Memory()
@@ -139,7 +138,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
                 names=[*batch.schema.names[:-1], "lang_pred", "score"],
             )
 
-    return source.mapInArrow(run, f"{fields}lang_pred string, score double")
+    return source.mapInArrow(run, with_fields(source.drop("_text"), "lang_pred string, score double"))
 
 
 def held_out(key: "F.Column") -> "F.Column":

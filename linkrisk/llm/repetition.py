@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from linkrisk.llm.common import with_fields
+
 #: Words whose suffixes are sorted together; a longer text is sorted alone, as a whole.
 TOGETHER = 200_000
 SYMBOLS = "#*$%&|<>"
@@ -133,10 +135,10 @@ def repeats(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",),
     other, so equal rows give equal rows and an empty table an empty result.
     """
     source = docs.select(*keep, F.col(text).alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    schema = (
-        fields + (", " if fields else "") + "n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-        "n_repeat_words long, covered_words long, longest_repeat long, repeat_spans array<struct<start: long, end: long>>"
+    schema = with_fields(
+        source.drop("_text"),
+        "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, covered_words long, "
+        "longest_repeat long, repeat_spans array<struct<start: long, end: long>>",
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

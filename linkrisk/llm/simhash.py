@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from linkrisk.llm.common import map_batches, with_fields
 from linkrisk.session import write_scratch
 
 SEED = 42
@@ -336,7 +337,6 @@ def components(edges: DataFrame) -> DataFrame:
 def fingerprints(docs: DataFrame, text: str, keep: list[str], size: int, distinct: bool = False, salts: tuple[int, ...] = (0,)) -> DataFrame:
     """``keep`` and ``fps``, a fingerprint (signed long) for each salt."""
     source = docs.select(*keep, F.col(text).cast("binary").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,7 +345,7 @@ def fingerprints(docs: DataFrame, text: str, keep: list[str], size: int, distinc
             offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(salts))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(offsets, flat)], names=[*batch.schema.names[:-1], "fps"])
 
-    return source.mapInArrow(run, f"{fields}, fps array<long>")
+    return source.mapInArrow(run, with_fields(source.drop("_text"), "fps array<long>"))
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 3, radius: int = 3) -> DataFrame:
@@ -374,8 +374,6 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int
 
 def _shingle_sets(rows: DataFrame, text: str, size: int) -> DataFrame:
     """``h`` and the sorted distinct hashes of the shingles of each text."""
-    from linkrisk.llm.common import map_batches
-
     def sets(columns: dict[str, list]) -> dict[str, list]:
         hashes = [sorted({xxhash.xxh64_intdigest(s, SEED) for s in shingles(t, size)}) for t in columns["body"]]
         return {"h": columns["h"], "hashes": [np.array(x, dtype=np.uint64).view(np.int64).tolist() for x in hashes]}
@@ -388,7 +386,7 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: that with the least key, all columns as they were.
 
-    Equal texts are one group; null texts count as empty. Other texts are linked if the sets of their ``size``-word shingles
+    Equal texts are one group; null texts count as empty, and texts without words are alike. Other texts are linked if the sets of their ``size``-word shingles
     have a Jaccard similarity of ``least`` or more, which is computed for all pairs that come within
     ``radius`` bits in the SimHash of their distinct words under any of the salts. One fingerprint of 64
     bits would miss many pairs near the bound, several hash functions find nearly all. Of more than
