@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from linkrisk.llm.common import map_batches, with_fields
+from linkrisk.session import write_scratch
 
 UNKNOWN = "und"
 #: Coordinates of a vector, letters of an n-gram.
@@ -90,6 +91,7 @@ def learn(labelled: DataFrame, text: str, lang: str, key: str) -> dict[str, np.n
     """
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key")).where("lang is not null and text is not null")
     counts = rows.groupBy("lang").count().select(F.col("lang").alias("l"), (F.lit(float(LEARN_FROM)) / F.col("count")).alias("share"))
+    counts = write_scratch(counts, "language-counts")  # its size is then known, so the texts need not move to meet it
     chance = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.join(counts, F.col("lang") == F.col("l")).where(chance < F.col("share")).select("lang", "text")
 
