@@ -220,7 +220,7 @@ def explode_domain_urls(spark, sf):
     return sitemaps.explode_domain_urls(progress_text(spark, sf))
 
 
-@query("clean_utf8", "SELECT doc_id, replace(text, chr(65533), '') || 'ab' AS cleaned FROM documents")
+@query("clean_utf8", "SELECT doc_id, chr(65533) || text || 'ab' AS cleaned FROM documents")
 def clean_utf8(spark, sf):
-    broken = F.concat(F.encode("text", "UTF-8"), F.lit("a").cast("binary"), F.unhex(F.lit("FF")), F.lit("b").cast("binary"))
+    broken = F.concat(F.encode(F.concat(F.lit("\ufffd"), "text"), "UTF-8"), F.lit("a").cast("binary"), F.unhex(F.lit("FF")), F.lit("b").cast("binary"))
     return table(spark, sf, "documents").select("doc_id", text.clean_utf8(broken).alias("cleaned"))

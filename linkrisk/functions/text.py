@@ -65,8 +65,14 @@ def home_url_if_none(domain: Column, urls: Column) -> Column:
 
 
 def clean_utf8(raw: Column) -> Column:
-    """Valid UTF-8 text from raw bytes, without the undecodable ones."""
-    return F.replace(F.make_valid_utf8(raw.cast("string")), F.lit("\ufffd"))
+    """Valid UTF-8 text from raw bytes, without the undecodable ones.
+
+    Valid text stays as it is. Elsewhere a replacement character that is really there is set aside
+    as two noncharacters while the undecodable bytes are dropped.
+    """
+    text, mark, aside = raw.cast("string"), F.lit("\ufffd"), F.lit("\ufdd0\ufdd1")
+    dropped = F.replace(F.make_valid_utf8(F.replace(text, mark, aside)), mark)
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.replace(dropped, aside, mark))
 
 
 def url_length(url: Column) -> Column:

@@ -30,9 +30,12 @@ def majority_baseline(train: DataFrame, rows: DataFrame, label: str) -> DataFram
 def stratified_baseline(
     train: DataFrame, rows: DataFrame, label: str, key: str | Sequence[str], seed: int = schemas.SEED
 ) -> DataFrame:
-    """A class drawn with the training share of class 1; the draw comes from the row's digest."""
+    """A class drawn with the training share of class 1; the draw comes from a digest of its own.
+
+    The digest that orders rows decides on splits, too; a draw from it would be tied to them.
+    """
     prior = class_priors(train, label).where(F.col(label) == 1).first()
-    digits = F.substring(seeded_digest(key, seed), 1, 8)
+    digits = F.substring(F.md5(F.concat(seeded_digest(key, seed), F.lit(":draw"))), 1, 8)
     draw = F.conv(digits, 16, 10).cast("bigint") / F.lit(float(16**8))
     chosen = (draw < F.lit(prior["prior"] if prior else 0.0)).cast("int")
     return rows.withColumn("prediction", chosen).withColumn("score", F.col("prediction").cast("double"))

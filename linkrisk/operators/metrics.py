@@ -45,11 +45,12 @@ def binary_metrics(scored: DataFrame, by: Sequence[str] = ("model", "split")) ->
 def roc_auc(scored: DataFrame, by: Sequence[str] = ("model", "split")) -> DataFrame:
     """Exact rank AUC with half credit for ties.
 
-    Rows are counted per distinct score first; negatives below a score come from
+    Rows without a label or a score count neither way. Rows are counted per distinct score first; negatives below a score come from
     running totals over score bins, so no task sorts all rows of a model.
     """
-    positive = F.count_if(F.col("label") == 1)
-    counted = scored.groupBy(*by, "score").agg(positive.alias("pos"), (F.count("*") - positive).alias("neg"))
+    usable = F.col("score").isNotNull()
+    positive, negative = (F.count_if(usable & c) for c in (F.col("label") == 1, F.col("label") != 1))
+    counted = scored.groupBy(*by, "score").agg(positive.alias("pos"), negative.alias("neg"))
     running = running_totals(cut_lineage(counted), by, "score", ["neg"])
     wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
     sums = running.groupBy(*by).agg(wins.alias("wins"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from linkrisk import schemas
 from linkrisk.functions import outcomes, scan
 from linkrisk.operators import prep
+from linkrisk.operators.features import add_missing_features
 from linkrisk.sources.scans import read_scan_documents
 
 LABEL = "label"
@@ -321,8 +322,8 @@ def refit_train_val(name: str, split: DataFrame, params: dict | None = None) ->
 
 
 def batch_score(model: PipelineModel, rows: DataFrame, *keep: str) -> DataFrame:
-    """Class name, confidence and both probabilities of feature rows."""
-    scored = apply_model(model, rows, *keep)
+    """Class name, confidence and both probabilities of feature rows; a feature they lack is 0 before scaling."""
+    scored = apply_model(model, add_missing_features(rows), *keep)
     p_legit = 1 - F.col("score")
     return scored.select(
         *keep,

@@ -9,7 +9,7 @@ from linkrisk.functions import outcomes
 from linkrisk.operators import dedupe, features, ledger, sampling
 from linkrisk.session import cut_lineage
 from linkrisk.sources.scans import read_scan_documents
-from linkrisk.sources.tables import get_table, write_batch
+from linkrisk.sources.tables import finished_batches, get_table, write_batch
 from linkrisk.streaming.incremental import FEATURE_TABLE, LEDGER_TABLE
 
 
@@ -20,10 +20,14 @@ def plan_round(
     sample_size: int | None = None,
     batch_size: int = schemas.BATCH_SIZE,
     max_batches: int | None = None,
+    before: int | None = None,
 ) -> DataFrame:
-    """Balanced, not yet attempted candidates with their batch number."""
+    """Balanced candidates that no round (or none ``before`` a number) has attempted, with their batch number."""
     spark = candidates.sparkSession
-    seen = dedupe.seen_urls(get_table(spark, root, FEATURE_TABLE), get_table(spark, root, LEDGER_TABLE))
+    tables = [get_table(spark, root, name) for name in (FEATURE_TABLE, LEDGER_TABLE)]
+    if before is not None:
+        tables = [t if t is None else t.where(F.col("batch") < before) for t in tables]
+    seen = dedupe.seen_urls(*tables)
     sample = sampling.balanced_sample(candidates, "is_phishing", key, seen, sample_size)
     return sampling.assign_batches(cut_lineage(sample), key, batch_size, max_batches)
 
@@ -34,7 +38,7 @@ def scan_round(
     submissions: DataFrame,
     results: DataFrame,
     root: str,
-    round_no: int = 0,
+    round_no: int | None = None,
     sample_size: int | None = None,
     batch_size: int = schemas.BATCH_SIZE,
     max_batches: int | None = None,
@@ -44,13 +48,21 @@ def scan_round(
 
     ``candidates`` has (key, url, is_phishing); ``submissions`` (uuid, url, submit_ts,
     submit_error) and ``results`` (uuid, response_ts, ok, message, document) are the
-    landed answers.
+    landed answers. Without a number the round takes the next one; the number of a finished
+    round is refused. A round that broke off may be repeated: it draws the same
+    candidates, as only earlier rounds count, and replaces what it had written.
     """
-    chosen = cut_lineage(plan_round(candidates, key, root, sample_size, batch_size, max_batches))
+    finished = finished_batches(candidates.sparkSession, root, LEDGER_TABLE)
+    if round_no is None:
+        round_no = max(finished, default=-1) + 1
+    elif round_no in finished:
+        raise ValueError(f"round {round_no} is finished")
+    chosen = cut_lineage(plan_round(candidates, key, root, sample_size, batch_size, max_batches, round_no))
     sent = submissions.join(chosen.select("url", "batch"), "url")
     attempts = cut_lineage(ledger.resolve_attempts(sent, results, max_wait))
     answered = attempts.where(F.col("status") == outcomes.STATUS_SUCCESS).select("uuid").distinct()
-    docs = results.where(F.col("ok")).select("uuid", "document").join(answered, "uuid").dropDuplicates(["uuid"])
+    good = results.where(F.col("ok")).join(answered, "uuid")
+    docs = good.groupBy("uuid").agg(F.min_by("document", "response_ts").alias("document"))  # the first answer
     rows = features.labelled_features(read_scan_documents(docs), chosen)
     write_batch(rows, root, FEATURE_TABLE, round_no)
     write_batch(ledger.ledger_rows(attempts), root, LEDGER_TABLE, round_no)

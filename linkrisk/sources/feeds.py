@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkrisk import schemas
@@ -37,7 +39,8 @@ def read_url_feed(spark: SparkSession, base: str, manifest: DataFrame, label: in
     """(url_id, url, is_phishing) from all files that a manifest lists.
 
     The list of file names is all that reaches the driver, as in any file scan, and
-    the same list is broadcast to number the lines' files. URLs keep a trailing
+    the same list is broadcast to number the lines' files. Spark names files with escapes,
+    so names are decoded before they are matched. URLs keep a trailing
     carriage return: lines end at the line feed only.
     """
     base = base.rstrip("/")
@@ -45,9 +48,10 @@ def read_url_feed(spark: SparkSession, base: str, manifest: DataFrame, label: in
     if not listed:
         return spark.createDataFrame([], schemas.FEED_DDL)
     files = spark.createDataFrame(listed, "file_no BIGINT, file_name STRING")
-    marker = base.rsplit("/", 1)[-1] + "/"
+    folder = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "", base).strip("/") + "/"
+    path = F.url_decode(F.replace(F.col("file_path"), F.lit("+"), F.lit("%2B")))
     lines = read_lines(spark, [f"{base}/{name}" for _, name in listed])
-    named = lines.withColumn("file_name", F.substring_index("file_path", marker, -1))
+    named = lines.withColumn("file_name", F.substring(path, F.locate(folder, path) + len(folder), F.lit(1 << 20)))
     urls = named.join(F.broadcast(files), "file_name").where(text.is_nonblank(F.col("line")) & text.has_http_scheme(F.col("line")))
     order = ["file_no", "split_start", "position"]
     seen = first_seen(urls.withColumnRenamed("line", "url"), "url", order)

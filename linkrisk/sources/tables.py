@@ -35,6 +35,11 @@ def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(found)
 
 
+def finished_batches(spark: SparkSession, root: str, name: str, version: int = 1) -> list[int]:
+    """Numbers of the batches that a log table holds."""
+    return _children(spark, table_path(root, name, version), "batch")
+
+
 def get_table(spark: SparkSession, root: str, name: str, version: int = 1) -> DataFrame | None:
     """The table, or None when it does not exist."""
     path = table_path(root, name, version)
