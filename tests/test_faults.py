@@ -53,3 +53,16 @@ def test_rounds_without_numbers_keep_each_other(spark, root):
     assert ledger.count() == ledger.select("url").distinct().count() == 16
     with pytest.raises(ValueError):
         scanning.scan_round(candidates, "id", sent, answers, root, 0, sample_size=4)
+
+
+def test_scoring_fills_absent_columns(spark):
+    from linkrisk.operators import models
+
+    rows = spark.createDataFrame(
+        [tuple(float(i * k % 7) for k in range(1, 9)) + (i % 2, str(i)) for i in range(40)],
+        ", ".join(f"{c} double" for c in schemas.FEATURES) + ", label int, url string",
+    )
+    model = models.fit_model("Logistic Regression", rows)
+    lacking = models.batch_score(model, rows.drop(schemas.FEATURES[2]), "url").collect()
+    zero = models.batch_score(model, rows.withColumn(schemas.FEATURES[2], F.lit(0.0)), "url").collect()
+    assert sorted(lacking) == sorted(zero) and len(lacking) == 40
