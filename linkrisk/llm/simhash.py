@@ -27,7 +27,7 @@ SEED = 42
 SAMPLE = 4096
 #: Members of one value of a part that are compared in one go; more are split by further bits.
 HOT = 5_000
-#: Up to so many members all pairs within the radius are links, beyond that a spanning forest of them.
+#: Up to so many members all pairs within the radius are links, beyond that a spanning forest of them; see ``crossing`` for the rest.
 ALL_PAIRS = 64
 #: Hashes whose bits are added up at once.
 SLICE = 200_000
@@ -203,14 +203,14 @@ def _splitter(parts: int):
     return run
 
 
-def links_within(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
+def links_within(members: np.ndarray, radius: int, all_pairs: int) -> list[tuple[int, int]]:
     """Links among distinct fingerprints: all within the radius of a small group, a spanning forest of them of a larger one.
 
     The forest starts from the members with the most neighbours and reaches every
     member that any link reaches; comparing takes memory for a few rows of the table only.
     """
     n = len(members)
-    if n <= ALL_PAIRS:
+    if n <= all_pairs:
         a, b = np.nonzero(np.triu(np.bitwise_count(members[:, None] ^ members[None, :]) <= radius, 1))
         return list(zip(members[a].tolist(), members[b].tolist()))
     degree = np.concatenate([(np.bitwise_count(members[lo : lo + 64, None] ^ members[None, :]) <= radius).sum(axis=1) for lo in range(0, n, 64)])
@@ -229,10 +229,39 @@ def links_within(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return out
 
 
-def _links(radius: int):
-    """Rows sorted by key: links within each key that any fingerprint has as its own."""
-
-    def pairs(key: np.ndarray, fp: np.ndarray, own: np.ndarray) -> list[tuple[int, int]]:
+def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by key, the first column, cut between keys only; a null becomes 0."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [c.fill_null(False if pa.types.is_boolean(c.type) else 0).to_numpy(zero_copy_only=False) for c in batch.columns]
+        key = columns[0]
+        last = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
+        if held and held[-1][0][-1] == key[-1]:
+            held.append(columns)
+            continue
+        held.append([c[:last] for c in columns])
+        done = [h for h in held if len(h[0])]
+        if done:
+            yield [np.concatenate(c) for c in zip(*done)]
+        held = [[c[last:] for c in columns]]
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def _edges(found: list[tuple[int, int]]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Columns a < b of pairs of different fingerprints."""
+    for lo in range(0, len(found), 50_000):
+        both = np.array(found[lo : lo + 50_000], dtype=np.uint64).view(np.int64)
+        both = both[both[:, 0] != both[:, 1]]
+        yield pa.array(both.min(axis=1)), pa.array(both.max(axis=1))
+
+
+def _links(radius: int, all_pairs: int):
+    """Rows (key, fp, own) sorted by key: links within each key that any fingerprint has as its own, and the keys of larger groups."""
+
+    def pairs(key: np.ndarray, fp: np.ndarray, own: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         sizes = np.diff(np.append(starts, len(key)))
         owners = np.add.reduceat(own.astype(np.int64), starts)
@@ -240,46 +269,57 @@ def _links(radius: int):
         first = starts[two]
         near = np.bitwise_count(fp[first] ^ fp[first + 1]) <= radius
         out = list(zip(fp[first][near].tolist(), fp[first + 1][near].tolist()))
+        crowds = []
         for at in np.flatnonzero((sizes > 2) & (owners >= 1)).tolist():
-            out.extend(links_within(np.unique(fp[starts[at] : starts[at] + sizes[at]]), radius))
-        return out
+            members = np.unique(fp[starts[at] : starts[at] + sizes[at]])
+            out.extend(links_within(members, radius, all_pairs))
+            if len(members) > all_pairs:
+                crowds.append(int(key[starts[at]]))
+        return out, crowds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for key, fp, own in _whole_keys(batches):
+            found, crowds = pairs(key, fp.view(np.uint64), own)
+            for a, b in _edges(found):
+                yield pa.RecordBatch.from_arrays([a, b, pa.nulls(len(a), pa.int64())], names=["a", "b", "crowd"])
+            if crowds:
+                none = pa.nulls(len(crowds), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(crowds, pa.int64())], names=["a", "b", "crowd"])
 
-        def emit(rows):
-            if not rows:
-                return
-            found = pairs(*(np.concatenate(c) for c in zip(*rows)))
-            for lo in range(0, len(found), 50_000):
-                both = np.array(found[lo : lo + 50_000], dtype=np.uint64).view(np.int64)
-                both = both[both[:, 0] != both[:, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(both.min(axis=1)), pa.array(both.max(axis=1))], names=["a", "b"])
+    return run
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = batch.column(0).to_numpy()
-            fp = batch.column(1).to_numpy().view(np.uint64)
-            own = batch.column(2).to_numpy(zero_copy_only=False)
-            last = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
-            if held and held[-1][0][-1] == key[-1]:
-                held.append((key, fp, own))
-                continue
-            held.append((key[:last], fp[:last], own[:last]))
-            yield from emit([h for h in held if len(h[0])])
-            held = [(key[last:], fp[last:], own[last:])]
-        yield from emit(held)
+
+def _crossing(radius: int):
+    """Rows (key, fp, tag, known) sorted by key: all pairs within the radius whose known tags do not agree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, fps, tags, known in _whole_keys(batches):
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])).tolist()
+            for lo, hi in zip(starts, [*starts[1:], len(key)]):
+                fp, tag, sure = fps[lo:hi].view(np.uint64), tags[lo:hi], known[lo:hi].astype(bool)
+                for at in range(0, hi - lo, 64):
+                    to = min(at + 64, hi - lo)
+                    near = np.bitwise_count(fp[at:to, None] ^ fp[None, at:]) <= radius
+                    near &= (tag[at:to, None] != tag[None, at:]) | ~(sure[at:to, None] & sure[None, at:])
+                    i, j = np.nonzero(np.triu(near, 1))
+                    for a, b in _edges(list(zip(fp[at + i].tolist(), fp[at + j].tolist()))):
+                        yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     return run
 
 
-def links(fps: DataFrame, radius: int) -> DataFrame:
-    """Links ``a < b`` between the distinct fingerprints ``fp`` (signed long) of each ``space``.
+def _dealt(rows: DataFrame) -> DataFrame:
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, "key").sortWithinPartitions("key")
+
+
+def search(fps: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The written links ``a, b, crowd`` between the distinct fingerprints ``fp`` of each ``space``, and the probes.
 
     Linked fingerprints differ in ``radius`` bits at most, and fingerprints that do are
     connected by links. A key under which more than ``HOT`` fingerprints stand is split by
     radius + 1 further parts of the free bits, one of which must agree, until none is left.
+    Rows with a ``crowd`` name the keys of more than ``ALL_PAIRS`` fingerprints, which a forest connects.
     """
     spark = fps.sparkSession
     fps = fps.select("fp", "space")
@@ -301,9 +341,24 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
         finer = split.where(F.col("free") != 0).select("key", "free", "fp", "own").mapInArrow(_splitter(radius + 1), _PROBE)
         rows = write_scratch(cold.unionByName(keep).unionByName(finer), "simhash-probes")
         own = rows.where("own and free != 0")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("key", "fp", "own").repartition(partitions, "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(_links(radius), "a long, b long").distinct()
+    found = _dealt(rows.select("key", "fp", "own")).mapInArrow(_links(radius, ALL_PAIRS), "a long, b long, crowd long").distinct()
+    return write_scratch(found, "simhash-links"), rows
+
+
+def links(fps: DataFrame, radius: int) -> DataFrame:
+    """The links ``a < b`` of ``search``."""
+    return search(fps, radius)[0].where("crowd is null").select("a", "b")
+
+
+def crossing(found: DataFrame, rows: DataFrame, tags: DataFrame, radius: int) -> DataFrame:
+    """All pairs ``a < b`` within the radius under a crowded key whose tags differ, or are not known.
+
+    ``tags`` has a ``tag`` (or null) for every ``fp``. Where a forest has joined what belongs together, few are left.
+    """
+    crowds = found.where("crowd is not null").select("crowd")
+    rows = rows.select("key", "fp").join(crowds, F.col("key") == F.col("crowd"), "left_semi").join(tags, "fp")
+    rows = rows.select("key", "fp", "tag", F.col("tag").isNotNull().alias("known")).distinct()
+    return _dealt(rows).mapInArrow(_crossing(radius), "a long, b long").distinct()
 
 
 # --- components ---------------------------------------------------------------------------
@@ -389,8 +444,9 @@ def keep_one(
     Equal texts are one group; null texts count as empty, and texts without words are alike. Other texts are linked if the sets of their ``size``-word shingles
     have a Jaccard similarity of ``least`` or more, which is computed for all pairs that come within
     ``radius`` bits in the SimHash of their distinct words under any of the salts. One fingerprint of 64
-    bits would miss many pairs near the bound, several hash functions find nearly all. Of more than
-    ``ALL_PAIRS`` texts under one key only a spanning forest is compared, from the middle outwards.
+    bits would miss many pairs near the bound, several hash functions find nearly all. One text of
+    each fingerprint is compared first, along a spanning forest where more than ``ALL_PAIRS`` fingerprints stand under one
+    key, then every other pair within ``radius`` bits that the similar ones have not joined.
     Null keys are the least. Of fully equal (key, text) rows one stays.
     """
     body = F.coalesce(F.col(text), F.lit(""))
@@ -399,25 +455,50 @@ def keep_one(
     nodes = marked.groupBy("h").agg(F.first("fps").alias("fps"), F.min(F.struct("key")).alias("first"))
     nodes = write_scratch(nodes.select("h", "fps", F.col("first.key").alias("first")), "dedupe-nodes")
     prints = write_scratch(nodes.select("h", F.posexplode("fps").alias("space", "fp")).groupBy("space", "fp").agg(F.min("h").alias("rep"), F.max("h").alias("other")), "dedupe-prints")
-    near = write_scratch(links(prints, radius), "dedupe-links")
-    reps = prints.select("fp", "rep")
-    across = (
-        near.join(reps.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a")
-        .join(reps.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b")
-        .select("x", "y")
-    )
+    found, probes = search(prints, radius)
+    near = found.where("crowd is null").select("a", "b")
     shared = prints.where("rep <> other").select(F.col("space").alias("s"), F.col("fp").alias("f"), "rep")
-    within = nodes.select("h", F.posexplode("fps").alias("space", "fp")).join(shared, (F.col("space") == F.col("s")) & (F.col("fp") == F.col("f")))
-    pairs = across.union(within.select("rep", "h")).where("x <> y")
-    pairs = write_scratch(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "dedupe-pairs")
-    ends = pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct().join(nodes.select("h", "first"), F.col("e") == F.col("h")).select("e", "first")
-    ends = write_scratch(ends, "dedupe-ends")
-    same = (F.col("h") == F.col("e")) & F.col("key").eqNullSafe(F.col("first"))
-    sets = write_scratch(_shingle_sets(hashed.join(ends, same), "text", size).dropDuplicates(["h"]), "dedupe-shingles")
-    both = pairs.join(sets.select(F.col("h").alias("x"), F.col("hashes").alias("p")), "x").join(sets.select(F.col("h").alias("y"), F.col("hashes").alias("q")), "y")
-    common = F.size(F.array_intersect("p", "q"))
-    alike = both.where(common >= F.lit(least) * (F.size("p") + F.size("q") - common)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    roots = write_scratch(components(alike), "dedupe-roots")
+    touched = near.select(F.col("a").alias("t")).union(near.select("b")).union(shared.select("f")).distinct()
+    cells = nodes.select(F.posexplode("fps").alias("space", "fp"), "h").join(touched, F.col("fp") == F.col("t"), "left_semi")
+    cells = write_scratch(cells, "dedupe-cells")  # the texts of all fingerprints that have company
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Those of the written pairs whose shingle sets are similar enough, as ``a, b``."""
+        ends = pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct().join(nodes.select("h", "first"), F.col("e") == F.col("h")).select("e", "first")
+        ends = write_scratch(ends, "dedupe-ends")
+        same = (F.col("h") == F.col("e")) & F.col("key").eqNullSafe(F.col("first"))
+        sets = write_scratch(_shingle_sets(hashed.join(ends, same), "text", size).dropDuplicates(["h"]), "dedupe-shingles")
+        both = pairs.join(sets.select(F.col("h").alias("x"), F.col("hashes").alias("p")), "x").join(sets.select(F.col("h").alias("y"), F.col("hashes").alias("q")), "y")
+        common = F.size(F.array_intersect("p", "q"))
+        similar = both.where(common >= F.lit(least) * (F.size("p") + F.size("q") - common))
+        return write_scratch(similar.select(F.col("x").alias("a"), F.col("y").alias("b")), "dedupe-alike")
+
+    # First one text stands for its fingerprint, which joins most of what belongs together.
+    reps = prints.select("fp", "rep")
+    across = near.join(reps.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(reps.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b")
+    within = cells.join(shared, (F.col("space") == F.col("s")) & (F.col("fp") == F.col("f"))).select(F.col("rep").alias("x"), F.col("h").alias("y"))
+    pairs = write_scratch(ordered(across.select("x", "y").union(within)), "dedupe-pairs")
+    joined = alike(pairs)
+    roots = write_scratch(components(joined), "dedupe-roots")
+    # Then every pair of texts within the radius that is neither compared nor joined.
+    members = cells.select("fp", "h").distinct().join(roots, F.col("h") == F.col("node"), "left").select("fp", "h", F.coalesce("root", "h").alias("root"))
+    members = write_scratch(members, "dedupe-members")
+    tags = members.groupBy("fp").agg(F.min(F.xxhash64("root")).alias("tag"), F.max(F.xxhash64("root")).alias("other"))
+    tags = write_scratch(tags.select("fp", F.when(F.col("tag") == F.col("other"), F.col("tag")).alias("tag")), "dedupe-tags")
+    apart = near.union(tags.where("tag is null").select("fp", "fp"))
+    if not found.where("crowd is not null").isEmpty():
+        apart = apart.union(crossing(found, probes, tags, radius))
+    groups = members.groupBy("fp", "root").agg(F.count(F.lit(1)).alias("texts"))
+    left, right = (groups.select(F.col("fp").alias(f), F.col("root").alias(r)) for f, r in (("a", "u"), ("b", "v")))
+    apart = apart.distinct().join(left, "a").join(right, "b").where("u <> v")
+    more = apart.join(members.select(F.col("fp").alias("a"), F.col("root").alias("u"), F.col("h").alias("x")), ["a", "u"])
+    more = more.join(members.select(F.col("fp").alias("b"), F.col("root").alias("v"), F.col("h").alias("y")), ["b", "v"])
+    more = write_scratch(ordered(more.select("x", "y")).join(pairs, ["x", "y"], "left_anti"), "dedupe-more")
+    if not more.isEmpty():
+        roots = write_scratch(components(joined.union(alike(more))), "dedupe-roots")
     rooted = nodes.join(roots, F.col("h") == F.col("node"), "left").select("h", "first", F.coalesce("root", "h").alias("root"))
     kept = rooted.groupBy("root").agg(F.min(F.struct("first", "h")).alias("one")).select("one.first", "one.h")
     times = marked.groupBy(F.col("h").alias("g"), F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("times"))

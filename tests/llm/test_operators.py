@@ -314,6 +314,41 @@ def test_keep_one(docs, empty):
     assert simhash.keep_one(empty).collect() == []
 
 
+def test_crowds_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "ALL_PAIRS", 5)
+    r = random.Random(11)
+    prints = {b ^ 1 << i ^ 1 << j for b in [r.getrandbits(64) for _ in range(4)] for i in range(9) for j in range(9)} | {r.getrandbits(64) for _ in range(50)}
+    signed = sorted(p - (1 << 64) if p >> 63 else p for p in prints)
+    fps = spark.createDataFrame([(p, 0) for p in signed], "fp long, space int")
+    found, probes = simhash.search(fps, 3)
+    near = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
+    small = {(x.a, x.b) for x in found.where("crowd is null").collect()}
+    for tag, wanted in (("cast(null as long)", near), ("pmod(fp, 3)", {(a, b) for a, b in near if a % 3 != b % 3}), ("1L", set())):
+        rest = {(x.a, x.b) for x in simhash.crossing(found, probes, fps.selectExpr("fp", f"{tag} as tag"), 3).collect()}
+        assert wanted <= small | rest <= near
+    assert found.where("crowd is not null").count() > 0 and small != near
+
+
+def test_keep_one_in_crowds(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "ALL_PAIRS", 5)
+    r = random.Random(12)
+    words, texts = _prose(50, 300).split(), []
+    for _ in range(6):  # the same words in other orders: near in fingerprints, not in shingles
+        r.shuffle(words)
+        for i in range(14):
+            texts.append(" ".join([*words[: 20 * i], f"new{i}", *words[20 * i + 1 :]]))
+    r.shuffle(texts)
+    sets = [set(simhash.shingles(t.encode(), 5)) for t in texts]
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(x.doc_id for x in simhash.keep_one(docs).collect()) == sorted(set(root)) and len(set(root)) == 6
+
+
 HTML = (
     '<html><head><title>t</title><script>var a="</p>";</script></head><body><header>Site</header><nav><a>menu</a></nav>'
     '<div class="page with-sidebar"><article><h1>Head &amp; tail</h1><p>One<br>two <b>three<p>four&nbsp;five {n}</p>'
