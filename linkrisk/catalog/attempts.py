@@ -148,17 +148,23 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-# The stream holds back what its watermark has not passed yet: 10 minutes and the waiting time before the last submission.
-@query("resolve_attempts_stream", f"""WITH {RESOLVED} SELECT event_id, status, outcome FROM resolved WHERE response_ts IS NOT NULL
-UNION ALL SELECT event_id, status, outcome FROM resolved WHERE response_ts IS NULL
-  AND submit_ts + INTERVAL 300 SECOND < (SELECT max(submit_ts) FROM submissions) - INTERVAL 1 HOUR""")
+def late_copies(results: DataFrame) -> DataFrame:
+    """The answers and a contradicting one 30 seconds after every final answer, which must not count."""
+    late = results.where(F.col("ok")).select(
+        "uuid", (F.col("response_ts") + F.make_dt_interval(secs=F.lit(30))).alias("response_ts"), F.lit(False).alias("ok"), F.lit("DNS error").alias("message")
+    )
+    return results.unionByName(late)
+
+
+# A success that comes too late is followed by an error that comes too late as well, so the outcomes are those of resolve_attempts.
+@query("resolve_attempts_stream", f"WITH {RESOLVED} SELECT event_id, status, outcome FROM resolved")
 def resolve_attempts_stream(spark, sf):
     stream = event_stream(spark, sf)
-    resolved = incremental.resolve_stream(submissions_of(stream), results_of(stream))
-    written = run_to_table(resolved.select("event_id", "submit_ts", "response_ts", "status", "outcome"), "resolved")
-    last = table(spark, sf, "events").agg(F.max("ts").cast("timestamp")).scalar()
-    settled = F.col("submit_ts") + F.make_dt_interval(secs=F.lit(300)) < last - F.make_dt_interval(hours=F.lit(1))
-    return written.where(F.col("response_ts").isNotNull() | settled).select("event_id", "status", "outcome")
+    resolved = incremental.resolve_stream(submissions_of(stream), late_copies(results_of(stream)))
+    written = run_to_table(resolved.select("uuid", "event_id", "status", "outcome"), "resolved")
+    sent, answers = _logs(spark, sf)
+    rest = incremental.settle_rest(sent, late_copies(answers), written)
+    return written.unionByName(rest.select(*written.columns)).select("event_id", "status", "outcome")
 
 
 @query("dedupe_attempted", """SELECT DISTINCT 'https://u' || user_id || '.example/' AS url FROM events
@@ -168,7 +174,9 @@ def dedupe_attempted(spark, sf):
     bought = (F.col("event_type") == "purchase") & (F.col("value") > 100)
     done = table(spark, sf, "events").where(bought).select(url)
     stream = event_stream(spark, sf).select(url, F.col("ts").cast("timestamp").alias("ts"))
-    return run_to_table(incremental.new_attempts(stream, done, "ts", "60 days"), "fresh").select("url")
+    out = scratch_path(spark, "fresh")
+    incremental.new_attempts(stream, lambda: done, "ts", "60 days", out, scratch_path(spark, "fresh-state")).awaitTermination()
+    return spark.read.schema("url STRING").parquet(out)
 
 
 @query("incremental_scan", f"""WITH {feature_queries.LABELS_OF_PAGES}

@@ -20,17 +20,23 @@ from linkrisk.session import cut_lineage
 # Hex digits of a digest, digits per histogram level, and rows that one task may rank.
 DIGEST_DIGITS = 32
 BUCKET_DIGITS = 3
-EDGE_ROWS = 1_000_000
+EDGE_ROWS = 1_000_000  # decides on the number of passes only; the rows are the same
 
 # Distinct values that one task may sort for a running total.
 BIN_ROWS = 1_000_000
 
 
 def seeded_digest(key: str | Sequence[str], seed: int = SEED) -> Column:
-    """md5 over seed and key columns. The key must identify a row."""
+    """md5 over seed and key columns. The key must identify a row.
+
+    A null key differs from an empty one, and parts of a longer key keep their borders:
+    separators inside them are escaped.
+    """
     names = [key] if isinstance(key, str) else list(key)
-    parts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names]
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
+    parts = [F.col(name).cast("string") for name in names]
+    if len(parts) > 1:
+        parts = [F.coalesce(F.regexp_replace(p, r"([\\:])", r"\\$1"), F.lit("\\N")) for p in parts]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))  # leaves out a null part
 
 
 def _bucket(digest: str) -> Column:
@@ -178,7 +184,8 @@ def running_totals(counted: DataFrame, by: Sequence[str], value: str, sums: Sequ
     binner = QuantileDiscretizer(
         inputCol=value, outputCol="_bin", numBuckets=bins, relativeError=0.25 / bins, handleInvalid="keep"
     )
-    binned = binner.fit(counted).transform(counted)
+    # Rows without a value come first, as they do in one window.
+    binned = binner.fit(counted).transform(counted).withColumn("_bin", F.coalesce("_bin", F.lit(-1.0)))
     over_bins = Window.partitionBy(*by).orderBy("_bin")
     offsets = binned.groupBy(*by, "_bin").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
     offsets = offsets.select(

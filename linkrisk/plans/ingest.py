@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkrisk import schemas
 from linkrisk.functions.ordering import number_rows
 from linkrisk.operators import dedupe, sitemaps
+from linkrisk.session import cut_lineage
 from linkrisk.sources import feeds, tables
 
+# Names and versions of the stored tables.
 FEED_TABLE, FEED_VERSION = "phishing_urls", 2
 RANKED_TABLE, RANKED_VERSION = "legit_domains", 1
 PROGRESS_TABLE, PROGRESS_VERSION = "scan_progress_legit_urls", 4
@@ -16,8 +18,17 @@ LEGIT_TABLE, LEGIT_VERSION = "legit_urls_before_scan", 2
 
 
 def load_feed(spark: SparkSession, root: str, base: str, manifest_path: str) -> DataFrame:
+    """Merge the feed by URL. A known URL keeps its id, new ones are numbered behind the greatest id."""
     urls = feeds.read_url_feed(spark, base, feeds.read_manifest(spark, manifest_path))
-    return tables.upsert_table(urls, root, FEED_TABLE, "url_id", FEED_VERSION)
+    known = tables.get_table(spark, root, FEED_TABLE, FEED_VERSION)
+    if known is not None:
+        after = known.agg(F.coalesce(F.max("url_id") + 1, F.lit(0).cast("bigint"))).first()[0]
+        old = known.select(F.col("url").alias("_url"), F.col("url_id").alias("_id"))
+        matched = cut_lineage(urls.join(old, F.col("url") == F.col("_url"), "left").select(*urls.columns, "_id"))
+        new = number_rows(matched.where("_id is null").drop("_id"), ["url_id"], "_new", after)
+        kept = matched.where("_id is not null").withColumn("url_id", F.col("_id")).drop("_id")
+        urls = kept.unionByName(new.withColumn("url_id", F.col("_new")).drop("_new"))
+    return tables.upsert_table(urls, root, FEED_TABLE, "url", FEED_VERSION)
 
 
 def load_ranked(spark: SparkSession, root: str, path: str) -> DataFrame:
@@ -30,16 +41,19 @@ def append_progress(new: DataFrame, current: DataFrame | None) -> DataFrame:
 
 
 def collect_new_domain_urls(
-    spark: SparkSession, root: str, fetched: DataFrame, n: int = schemas.DOMAINS_PER_RUN
+    spark: SparkSession, root: str, fetched: DataFrame, n: int | None = schemas.DOMAINS_PER_RUN, **limits: int | None
 ) -> DataFrame | None:
-    """Expand the next n domains and add them to the progress table; no new domain, no write."""
+    """Expand the next n domains and add them to the progress table; no new domain, no write.
+
+    ``limits`` are those of ``domain_pages``: cap, max_depth and max_children; None lifts a limit, n included.
+    """
     ranked = tables.read_table(spark, root, RANKED_TABLE, RANKED_VERSION)
     current = tables.get_table(spark, root, PROGRESS_TABLE, PROGRESS_VERSION)
     done = ranked.select("domain").limit(0) if current is None else current
     todo = dedupe.new_domains(ranked, done)
     if todo.isEmpty():
         return current
-    rows = sitemaps.collect_new_domains(ranked, done, fetched, n)
+    rows = sitemaps.collect_new_domains(ranked, done, fetched, n, **limits)
     merged = append_progress(rows, current)
     newest = dedupe.latest_by_key(merged, ["domain"], ["time_updated"])
     return tables.write_snapshot(newest, root, PROGRESS_TABLE, PROGRESS_VERSION)
@@ -58,14 +72,15 @@ def ingest_urls(
     manifest_path: str,
     ranked_path: str,
     fetched: DataFrame,
-    n: int = schemas.DOMAINS_PER_RUN,
+    n: int | None = schemas.DOMAINS_PER_RUN,
+    **limits: int | None,
 ) -> dict[str, DataFrame]:
-    """All ingest steps one after the other, each with its stored table."""
+    """All ingest steps one after the other, each with its stored table; limits as in ``collect_new_domain_urls``."""
     stored = {
         FEED_TABLE: load_feed(spark, root, feed_base, manifest_path),
         RANKED_TABLE: load_ranked(spark, root, ranked_path),
     }
-    progress = collect_new_domain_urls(spark, root, fetched, n)
+    progress = collect_new_domain_urls(spark, root, fetched, n, **limits)
     if progress is not None:
         stored[PROGRESS_TABLE] = progress
         stored[LEGIT_TABLE] = tables.write_snapshot(legit_urls(progress), root, LEGIT_TABLE, LEGIT_VERSION)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from linkrisk import schemas
@@ -24,12 +26,15 @@ def _earlier(spark: SparkSession, root: str, name: str, batch: int) -> DataFrame
 def process_scans(docs: DataFrame, batch: int, source: DataFrame, root: str) -> None:
     """One batch of scan documents: skip attempted URLs, write features, then the ledger.
 
+    Documents that cannot be read or name no URL are left out, and of several with one URL
+    that with the least scan id is taken.
     Features come first, as both tables count as seen: whatever fails in between
     is not scanned again. Every batch replaces its own folder, so it may be repeated.
     """
     spark = docs.sparkSession
     parsed = read_scan_documents(docs)
-    urls = parsed.withColumn("url", scan.submitted_url(F.col("doc")))
+    urls = parsed.withColumn("url", scan.submitted_url(F.col("doc"))).where("url is not null")
+    urls = urls.withColumn("_uuid", scan.scan_uuid(F.col("doc"))).groupBy("url").agg(F.min_by("doc", F.struct("_uuid", F.xxhash64("doc"))).alias("doc"))
     seen = dedupe.seen_urls(_earlier(spark, root, FEATURE_TABLE, batch), _earlier(spark, root, LEDGER_TABLE, batch))
     todo = dedupe.exclude_scanned(urls, seen).persist()
     write_batch(features.labelled_features(todo, source), root, FEATURE_TABLE, batch)
@@ -67,10 +72,11 @@ def read_features(spark: SparkSession, root: str) -> DataFrame:
 def resolve_stream(
     submissions: DataFrame, results: DataFrame, max_wait: int = schemas.MAX_WAIT_BATCH, delay: str = "10 minutes"
 ) -> DataFrame:
-    """Streaming ``resolve_attempts``: a submission is timed out once the watermark passes its waiting time.
+    """Streaming ``resolve_attempts``: a submission is settled once the watermark passes its waiting time.
 
-    ``submissions`` has (uuid, submit_ts, submit_error, ...), ``results`` one final
-    answer per uuid at most, besides any number of "not ready" answers.
+    ``submissions`` has (uuid, submit_ts, submit_error, ...); of several final answers in time the
+    first counts. What the watermark has not passed when the stream ends, and rows that come
+    more than ``delay`` late, are not emitted: ``settle_rest`` finds these.
     """
     answers = results.where(F.col("ok") | (outcomes.result_error(F.col("message")) != "pending"))
     answers = answers.select(F.col("uuid").alias("_uuid"), "response_ts", "ok", "message")
@@ -79,10 +85,35 @@ def resolve_stream(
     # A literal interval: the state of the join is cleared by this range.
     in_time = F.expr(f"response_ts BETWEEN submit_ts AND submit_ts + INTERVAL {int(max_wait)} SECONDS")
     joined = left.join(right, (F.col("uuid") == F.col("_uuid")) & in_time, "leftOuter").drop("_uuid")
-    return ledger.with_outcome(joined)
+    first = joined.groupBy(*submissions.columns).agg(F.min(F.struct("response_ts", "ok", "message")).alias("_answer"))
+    return ledger.with_outcome(first.select(*submissions.columns, "_answer.*"))
+
+
+def settle_rest(
+    submissions: DataFrame, results: DataFrame, settled: DataFrame, now: Column | None = None, max_wait: int = schemas.MAX_WAIT_BATCH
+) -> DataFrame:
+    """The outcomes of submissions that a finished or paused ``resolve_stream`` did not emit.
+
+    ``settled`` holds what it has emitted. With ``now`` only those count whose waiting time is over by
+    then; without it the logs are complete and all do. Batch work over the rest alone.
+    """
+    rest = submissions.join(settled.select("uuid"), "uuid", "left_anti").select(*submissions.columns)
+    if now is not None:
+        rest = rest.where(F.col("submit_ts") + F.make_dt_interval(secs=F.lit(max_wait)) < now)
+    return ledger.resolve_attempts(rest, results, max_wait)
 
 
-def new_attempts(stream: DataFrame, attempted: DataFrame | None, event_time: str, within: str) -> DataFrame:
-    """URLs of a stream that the ledger does not hold, each once within the watermark."""
-    fresh = dedupe.exclude_scanned(stream, attempted, "url")
-    return fresh.withWatermark(event_time, within).dropDuplicatesWithinWatermark(["url"])
+def new_attempts(
+    stream: DataFrame, attempted: Callable[[], DataFrame | None], event_time: str, within: str, out: str, checkpoint: str
+) -> StreamingQuery:
+    """URLs of a stream that the ledger does not hold, each once within the watermark, as batches below ``out``.
+
+    ``attempted`` reads the ledger anew for every micro-batch, so attempts recorded meanwhile count. A URL that comes
+    again later than ``within`` is let through unless the ledger holds it by then.
+    """
+    once = stream.where("url is not null").withWatermark(event_time, within).dropDuplicatesWithinWatermark(["url"])
+
+    def run(batch_df: DataFrame, batch: int) -> None:
+        dedupe.exclude_scanned(batch_df, attempted(), "url").write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    return once.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -42,6 +42,32 @@ def test_feed_files_with_special_names(spark, root):
     assert sorted(r.url for r in got.collect()) == ["http://host0/", "http://host1/"]
 
 
+def test_reloaded_feed_keeps_urls_and_ids(spark, root):
+    from linkrisk.plans import ingest
+
+    for lines in (["http://a/", "http://b/", "http://c/"], ["http://b/", "http://d/", "http://c/"]):
+        folder = f"{root}/feed{len(lines)}-{lines[0][7]}"
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{folder}/data")
+        name = spark.read.text(f"{folder}/data").select("_metadata.file_name").first()[0]
+        spark.createDataFrame([(f"data/{name}",)], "value string").coalesce(1).write.text(f"{folder}/manifest")
+        stored = ingest.load_feed(spark, f"{root}/tables", folder, f"{folder}/manifest")
+    assert sorted((r.url_id, r.url) for r in stored.collect()) == [(0, "http://a/"), (1, "http://b/"), (2, "http://c/"), (3, "http://d/")]
+
+
+def test_seeded_keys_with_nulls_and_separators(spark):
+    rows = [("a", "b"), ("a:b", None), ("a", None), ("a", ""), (None, "a"), ("a:", "b"), ("a\\", ":b"), ("a", ":b"), (None, None), ("", "")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(ordering.seeded_digest(["x", "y"])).distinct().count() == len(rows)
+    assert df.select("y").distinct().select(ordering.seeded_digest("y")).distinct().count() == 5
+
+
+def test_running_totals_keep_null_values(spark, monkeypatch):
+    counted = spark.createDataFrame([("g", None, 2), *[("g", float(i), 1) for i in range(30)]], "g string, v double, n long")
+    want = sorted(map(str, ordering.running_totals(counted, ["g"], "v", ["n"]).collect()))
+    monkeypatch.setattr(ordering, "BIN_ROWS", 7)
+    assert sorted(map(str, ordering.running_totals(counted, ["g"], "v", ["n"]).collect())) == want
+
+
 def test_rounds_without_numbers_keep_each_other(spark, root):
     candidates = spark.createDataFrame([(i, f"http://h/{i}", i % 2) for i in range(20)], "id long, url string, is_phishing int")
     sent = candidates.select(F.md5("url").alias("uuid"), "url", F.lit("2024-01-01 00:00:00").cast("timestamp").alias("submit_ts"), F.lit(None).cast("string").alias("submit_error"))

@@ -36,6 +36,8 @@ def parse(spark, body, part):
         (urlset("a", ns=f' xmlns:s="{NS}"', prefix="s:"), ["a"]),
         (urlset("a", ns=f" xmlns='{NS}' xmlns:i='x'"), ["a"]),
         ("<!-- c -->" + urlset("a").split("?>")[1], ["a"]),
+        (f'<feed xmlns="{NS}"><group><url><loc>deep</loc></url></group></feed>', ["deep"]),
+        (f'<a:x xmlns:a="b" xmlns="{NS}"><url><loc>a</loc><url><loc>in</loc></url></url><a:url><a:loc>other</a:loc></a:url></a:x>', ["a", "in"]),
         ("This is not XML", []),
         (urlset("a", "b")[:-12], []),
         ("", []),
@@ -93,6 +95,30 @@ def test_index_that_names_itself_ends(spark):
     assert expand(spark, responses) == {"d.com": ["p"]}
 
 
+def test_limits_can_be_lifted(spark):
+    responses = [(ROOT, 200, index(*[f"c{i}" for i in range(7)]))] + [(f"c{i}", 200, index(f"d{i}", ROOT)) for i in range(7)]
+    responses += [(f"d{i}", 200, index(f"e{i}")) for i in range(7)] + [(f"e{i}", 200, urlset(f"p{i}", f"q{i}")) for i in range(7)]
+    fetched = spark.createDataFrame(responses, "url STRING, status INT, body STRING")
+    named = spark.createDataFrame([("d.com",)], "domain STRING")
+    rows = sitemaps.extract_urls_from_domains(named, fetched, None, max_depth=None, max_children=None).collect()
+    assert [r.urls for r in rows] == [[f"{x}{i}" for i in range(7) for x in "pq"]]
+    assert sitemaps.extract_urls_from_domains(named, fetched).first().urls == []
+
+
+def test_only_reached_responses_are_parsed(spark, monkeypatch):
+    parsed = []
+    keep = sitemaps.parse_responses
+
+    def counting(fetched, *limits):
+        parsed.extend(r.url for r in fetched.collect())
+        return keep(fetched, *limits)
+
+    monkeypatch.setattr(sitemaps, "parse_responses", counting)
+    responses = [(ROOT, 200, index("c1")), ("c1", 200, urlset("a"))] + [(f"o{i}", 200, urlset("o")) for i in range(20)]
+    assert expand(spark, responses) == {"d.com": ["a"]}
+    assert sorted(parsed) == ["c1", ROOT]
+
+
 def test_failing_domain_keeps_an_empty_list(spark):
     responses = [(ROOT, 200, urlset("a")), ("https://e.com/sitemap.xml", 404, urlset("b")), ("http://e.com/sitemap.xml", 200, "oops")]
     assert expand(spark, responses, ("d.com", "e.com")) == {"d.com": ["a"], "e.com": []}

@@ -51,6 +51,33 @@ def test_repeated_batch_changes_nothing(spark, root):
     assert tables.read_table(spark, root, incremental.LEDGER_TABLE).count() == 6
 
 
+def test_unreadable_documents_and_copies_in_a_batch(spark, root):
+    broken = spark.createDataFrame([("no document",), ("{}",), (None,)], "document STRING")
+    docs = documents(spark, [1, 1, 2]).union(broken)
+    incremental.process_scans(docs, 0, source(spark), root)
+    log = tables.read_table(spark, root, incremental.LEDGER_TABLE)
+    assert sorted(r.url for r in log.collect()) == ["u1", "u2"]
+    assert sorted(r.url for r in tables.read_table(spark, root, incremental.FEATURE_TABLE).collect()) == ["u1", "u2"]
+
+
+def test_new_attempts_read_the_ledger_in_every_batch(spark, root):
+    landed, out, state = (scratch_path(spark, name) for name in ("landed", "out", "state"))
+    ledger_rows = ["a"]
+    rows = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "url STRING").withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    rows.write.parquet(landed)
+
+    def run():
+        stream = spark.readStream.schema(rows.schema).parquet(landed)
+        seen = lambda: spark.createDataFrame([(u,) for u in ledger_rows], "url STRING")
+        incremental.new_attempts(stream, seen, "ts", "1 day", out, state).awaitTermination()
+        return sorted(r.url for r in spark.read.schema("url STRING").parquet(out).collect())
+
+    assert run() == ["b"]
+    ledger_rows.append("c")
+    spark.createDataFrame([("c",), ("d",)], "url STRING").withColumn("ts", F.lit("2024-01-01").cast("timestamp")).write.mode("append").parquet(landed)
+    assert run() == ["b", "d"]
+
+
 def logs(spark):
     sent = spark.createDataFrame(
         [("a", "ua", 0, None), ("b", "ub", 0, None), ("c", "uc", 0, None), ("d", "ud", 0, "Rate limit"), ("e", "ue", 0, "Bad request"), ("f", "uf", 0, None)],
@@ -98,6 +125,7 @@ def test_stream_resolves_like_the_batch(spark):
     sent, answers = logs(spark)
     paths = [scratch_path(spark, name) for name in ("sent", "answers", "out", "state")]
     late = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    answers = answers.unionByName(answers.where("ok").selectExpr("uuid", "response_ts + interval 5 seconds as response_ts", "false as ok", "'DNS error' as message"))
     # A day later another submission and answer move the watermark past all waiting times.
     sent.unionByName(sent.limit(1).select(F.lit("z").alias("uuid"), F.lit("uz").alias("url"), F.lit(None).cast("string").alias("submit_error"), late.alias("submit_ts"))).write.parquet(paths[0])
     answers.unionByName(answers.limit(1).select(F.lit("z").alias("uuid"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("message"), late.alias("response_ts"))).write.parquet(paths[1])
@@ -107,6 +135,13 @@ def test_stream_resolves_like_the_batch(spark):
     run.awaitTermination()
     got = {r.uuid: (r.status, r.outcome) for r in spark.read.parquet(paths[2]).collect()}
     assert {k: v for k, v in got.items() if k != "z"} == EXPECTED
+    settled = spark.read.parquet(paths[2])
+    assert settled.count() == settled.select("uuid").distinct().count()
+    logs_ = [spark.read.parquet(path) for path in paths[:2]]
+    rest = incremental.settle_rest(*logs_, settled)
+    assert sorted((r.uuid, r.outcome) for r in settled.select("uuid", "outcome").union(rest.select("uuid", "outcome")).collect()) == sorted([(k, v[1]) for k, v in EXPECTED.items()] + [("z", "success")])
+    waiting = incremental.settle_rest(*logs_, settled.limit(0), F.lit("2024-01-01 12:00:00").cast("timestamp"))
+    assert {r.uuid for r in waiting.collect()} == set(EXPECTED)
 
 
 def test_rounds_never_scan_twice(spark, root):
