@@ -176,7 +176,7 @@ def dedupe_attempted(spark, sf):
     stream = event_stream(spark, sf).select(url, F.col("ts").cast("timestamp").alias("ts"))
     out = scratch_path(spark, "fresh")
     incremental.new_attempts(stream, lambda: done, "ts", "60 days", out, scratch_path(spark, "fresh-state")).awaitTermination()
-    return spark.read.schema("url STRING").parquet(out)
+    return spark.read.schema("url STRING").parquet(out).select("url")
 
 
 @query("incremental_scan", f"""WITH {feature_queries.LABELS_OF_PAGES}
