@@ -13,19 +13,19 @@ from linkrisk.session import write_scratch
 
 
 def _with_row(docs: DataFrame) -> DataFrame:
-    """The whole row as one column beside those that a stage works on, so that no name collides."""
-    return docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    """The whole row as one column, so that no name collides and the text goes to Python once."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and long ones that resemble no learnt language."""
-    found = language.identify(_with_row(docs), keep=["_row"])
+    found = language.identify(_with_row(docs), "_row.text", "_row.lang", "_row.doc_id", ["_row"])
     return found.where(language.accepts(F.col("_row.text"))).select("_row.*")
 
 
 def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that are too short or repeat themselves."""
-    found = repetition.repeats(_with_row(docs), keep=["_row"], with_spans=False)
+    found = repetition.repeats(_with_row(docs), "_row.text", ["_row"], with_spans=False)
     return found.where(repetition.keeps()).select("_row.*")
 
 

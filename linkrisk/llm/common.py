@@ -32,6 +32,15 @@ def with_fields(kept: DataFrame, more: str):
     return StructType([*kept.schema.fields, *StructType.fromDDL(more).fields])
 
 
+def beside_text(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.Array]]:
+    """``keep`` and the text, and how to get the text from a batch: a field of a kept struct does not travel twice."""
+    outer, _, field = text.rpartition(".")
+    if outer in keep:
+        place = list(keep).index(outer)
+        return docs.select(*keep), lambda batch: batch.column(place).field(field)
+    return docs.select(*keep, F.col(text).alias("_text")), lambda batch: batch.columns[-1]
+
+
 def map_batches(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list] | None], schema: str) -> DataFrame:
     """``function`` turns the columns of each Arrow batch, as lists, into columns of the result."""
     from pyspark.sql.types import StructType

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from linkrisk.llm.common import map_batches, with_fields
+from linkrisk.llm.common import beside_text, map_batches, with_fields
 from linkrisk.session import write_scratch
 
 UNKNOWN = "und"
@@ -119,13 +119,14 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     """
     names = list(prototypes)
     matrix = np.array([prototypes[n] for n in names]).reshape(len(names), DIMENSIONS)
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    source, text_of = beside_text(docs, text, keep)
+    kept = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = Memory()
         for batch in batches:
             langs, scores = [], []
-            for body in batch.columns[-1]:
+            for body in text_of(batch):
                 vector = memory.text(body.as_py()) if names else None
                 if vector is None:
                     langs.append(UNKNOWN)
@@ -136,11 +137,11 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
                 langs.append(names[best])
                 scores.append(float(min(1.0, max(0.0, near[best]))))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"],
+                [*batch.columns[:kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                names=[*batch.schema.names[:kept], "lang_pred", "score"],
             )
 
-    return source.mapInArrow(run, with_fields(source.drop("_text"), "lang_pred string, score double"))
+    return source.mapInArrow(run, with_fields(docs.select(*keep), "lang_pred string, score double"))
 
 
 def held_out(key: "F.Column") -> "F.Column":

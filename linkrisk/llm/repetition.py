@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from linkrisk.llm.common import with_fields
+from linkrisk.llm.common import beside_text, with_fields
 
 #: Words whose suffixes are sorted together; a longer text is sorted alone, as a whole.
 TOGETHER = 200_000
@@ -134,9 +134,10 @@ def repeats(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",),
     A kept column must not have one of these names. Rows are independent of each
     other, so equal rows give equal rows and an empty table an empty result.
     """
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    source, text_of = beside_text(docs, text, keep)
+    kept = len(keep)
     schema = with_fields(
-        source.drop("_text"),
+        docs.select(*keep),
         "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, covered_words long, "
         "longest_repeat long, repeat_spans array<struct<start: long, end: long>>",
     )
@@ -147,13 +148,13 @@ def repeats(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",),
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts = batch.columns[-1].to_pylist()
+            texts = text_of(batch).to_pylist()
             base = [_base(t) for t in texts]
             found = measure([t.encode() if t else None for t in texts], least, with_spans)
             columns = [[r[0] for r in found], *zip(*base), *([r[k] for r in found] for k in (1, 2, 3))]
             arrays = [pa.array(list(c), pa.int64()) for c in columns]
             last = pa.array([[{"start": s, "end": e} for s, e in r[4]] for r in found], span)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays, last], names=[*batch.schema.names[:-1], *names, "repeat_spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *arrays, last], names=[*batch.schema.names[:kept], *names, "repeat_spans"])
 
     return source.mapInArrow(run, schema)
 
