@@ -10,7 +10,7 @@ word is numbered per text, so no prefix reaches from one text into another.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import count
 
 import numpy as np
@@ -91,28 +91,39 @@ def spans(inside: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist()))
 
 
-def measure(texts: list[bytes | None], least: int, with_spans: bool = False) -> list[tuple]:
-    """Per text: words, words in repeated 3-word windows, words in repeats of ``least`` words, longest repeat, spans."""
+def measure(texts: Iterable[bytes | None], least: int, with_spans: bool = False) -> list[tuple]:
+    """Per text: words, words in repeated 3-word windows, words in repeats of ``least`` words, longest repeat, spans.
+
+    Only the words of the texts that are sorted together are held at a time.
+    """
+    rows: list[tuple] = []
+    group: list[list[bytes]] = []
+    total = 0
+    for text in texts:
+        words = text.split() if text else []
+        if group and total + len(words) > TOGETHER:
+            rows.extend(_measure_together(group, least, with_spans))
+            group, total = [], 0
+        group.append(words)
+        total += len(words)
+    if group:
+        rows.extend(_measure_together(group, least, with_spans))
+    return rows
+
+
+def _measure_together(split: list[list[bytes]], least: int, with_spans: bool) -> list[tuple]:
     rows: list[tuple] = []
-    start = 0
-    split = [t.split() if t else [] for t in texts]
-    while start < len(split):
-        stop, total = start, 0
-        while stop < len(split) and (stop == start or total + len(split[stop]) <= TOGETHER):
-            total += len(split[stop])
-            stop += 1
-        sizes = np.array([len(w) for w in split[start:stop]], dtype=np.int64)
-        numbers: dict[bytes, int] = defaultdict(count().__next__)
-        words = np.fromiter((numbers[w] for text in split[start:stop] for w in text), dtype=np.int64, count=total)
-        bounds = np.concatenate(([0], np.cumsum(sizes)))
-        found = longest_repeats(words + np.repeat(np.arange(stop - start), sizes) * len(numbers), np.repeat(bounds[1:], sizes))
-        windows, long_ = covered(found, 3), covered(found, least)
-        sums = [np.concatenate(([0], np.cumsum(c)))[bounds] for c in (windows, long_)]
-        for i, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-            longest = int(found[lo:hi].max()) if hi > lo else 0
-            own = spans(long_[lo:hi]) if with_spans else []
-            rows.append((hi - lo, int(sums[0][i + 1] - sums[0][i]), int(sums[1][i + 1] - sums[1][i]), longest, own))
-        start = stop
+    sizes = np.array([len(w) for w in split], dtype=np.int64)
+    numbers: dict[bytes, int] = defaultdict(count().__next__)
+    words = np.fromiter((numbers[w] for text in split for w in text), dtype=np.int64, count=int(sizes.sum()))
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    found = longest_repeats(words + np.repeat(np.arange(len(split)), sizes) * len(numbers), np.repeat(bounds[1:], sizes))
+    windows, long_ = covered(found, 3), covered(found, least)
+    sums = [np.concatenate(([0], np.cumsum(c)))[bounds] for c in (windows, long_)]
+    for i, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+        longest = int(found[lo:hi].max()) if hi > lo else 0
+        own = spans(long_[lo:hi]) if with_spans else []
+        rows.append((hi - lo, int(sums[0][i + 1] - sums[0][i]), int(sums[1][i + 1] - sums[1][i]), longest, own))
     return rows
 
 
@@ -150,7 +161,7 @@ def repeats(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",),
                 continue
             texts = text_of(batch).to_pylist()
             base = [_base(t) for t in texts]
-            found = measure([t.encode() if t else None for t in texts], least, with_spans)
+            found = measure((t.encode() if t else None for t in texts), least, with_spans)
             columns = [[r[0] for r in found], *zip(*base), *([r[k] for r in found] for k in (1, 2, 3))]
             arrays = [pa.array(list(c), pa.int64()) for c in columns]
             last = pa.array([[{"start": s, "end": e} for s, e in r[4]] for r in found], span)
