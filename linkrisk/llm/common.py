@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+_KEPT: dict[str, dict] = {}
 
 
 def word_count(text: Column) -> Column:
@@ -32,6 +33,13 @@ def with_fields(kept: DataFrame, more: str):
     return StructType([*kept.schema.fields, *StructType.fromDDL(more).fields])
 
 
+def remembered(operator: str) -> dict:
+    """What this Python worker keeps between the tasks of an operator; what it has kept for another one is dropped."""
+    for other in [o for o in _KEPT if o != operator]:
+        del _KEPT[other]
+    return _KEPT.setdefault(operator, {})
+
+
 def beside_text(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.Array]]:
     """``keep`` and the text, and how to get the text from a batch: a field of a kept struct does not travel twice."""
     outer, _, field = text.rpartition(".")

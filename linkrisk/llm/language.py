@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from linkrisk.llm.common import beside_text, map_batches, with_fields
+from linkrisk.llm.common import beside_text, map_batches, remembered, with_fields
 from linkrisk.session import write_scratch
 
 UNKNOWN = "und"
@@ -55,6 +55,7 @@ class Memory:
     """Trigram vectors, made when first met and forgotten all at once when they are too many."""
 
     def __init__(self) -> None:
+        remembered("language")
         self.rows: dict[int, int] = {}
         self.vectors = np.empty((REMEMBERED, DIMENSIONS), dtype=np.int8)
 

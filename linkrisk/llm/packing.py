@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from linkrisk.llm.common import remembered
 from linkrisk.session import write_scratch
 
 #: Tokens that differ inside one step of the histogram, most pieces in a combination.
@@ -110,8 +111,6 @@ def tokenizer(name: str):
     return Tokenizer.from_file(name)
 
 
-#: Ids of the word parts that this worker has met, as bytes, by tokenizer.
-KNOWN: dict[str, dict[str, bytes]] = {}
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -158,7 +157,7 @@ def tokens(docs: DataFrame, text: str, key: str, model: str, end: int) -> DataFr
         model_ = packing.tokenizer(model)
         kind = "<u2" if model_.get_vocab_size() <= 1 << 16 else "<u4"
         width, last = int(kind[2]), np.array([end], dtype=kind).tobytes()
-        known = packing.KNOWN.setdefault(model, {})
+        known = remembered(f"packing {model}")  # the ids of the word parts, as bytes
         for batch in batches:
             body, lo = batch.column("body"), 0
             while lo < batch.num_rows:  # some megabytes of text at a time

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from linkrisk.llm.common import beside_text, with_fields
+from linkrisk.llm.common import beside_text, remembered, with_fields
 
 #: Words whose suffixes are sorted together; a longer text is sorted alone, as a whole.
 TOGETHER = 200_000
@@ -154,6 +154,7 @@ def repeats(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("repetition")
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         names = "n_words word_chars n_symbols n_dup_lines n_repeat_words covered_words longest_repeat".split()
         for batch in batches:

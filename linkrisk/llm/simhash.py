@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from linkrisk.llm.common import map_batches, with_fields
+from linkrisk.llm.common import map_batches, remembered, with_fields
 from linkrisk.session import write_scratch
 
 SEED = 42
@@ -394,6 +394,7 @@ def fingerprints(docs: DataFrame, text: str, keep: list[str], size: int, distinc
     source = docs.select(*keep, F.col(text).cast("binary").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("simhash")
         for batch in batches:
             found = fingerprint_batch(batch.columns[-1].to_pylist(), size, distinct, salts)
             flat = pa.array(np.ascontiguousarray(found.T).reshape(-1).view(np.int64))
