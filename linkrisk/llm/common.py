@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of an Arrow batch of texts, unless the session sets ``spark.sql.execution.arrow.maxRecordsPerBatch`` itself.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _KEPT: dict[str, dict] = {}
 
 
@@ -33,6 +36,17 @@ def with_fields(kept: DataFrame, more: str):
     return StructType([*kept.schema.fields, *StructType.fromDDL(more).fields])
 
 
+def modest_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Spark's 10,000 rows of an Arrow batch lowered to ``BATCH_ROWS`` in its session if nobody has set them.
+
+    A batch of texts is held several times, by the executor and by Python; the number of its rows is what bounds it.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, BATCH_ROWS)
+    return df
+
+
 def remembered(operator: str) -> dict:
     """What this Python worker keeps between the tasks of an operator; what it has kept for another one is dropped."""
     for other in [o for o in _KEPT if o != operator]:
@@ -43,6 +57,7 @@ def remembered(operator: str) -> dict:
 def beside_text(docs: DataFrame, text: str, keep: list[str]) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.Array]]:
     """``keep`` and the text, and how to get the text from a batch: a field of a kept struct does not travel twice."""
     outer, _, field = text.rpartition(".")
+    modest_batches(docs)
     if outer in keep:
         place = list(keep).index(outer)
         return docs.select(*keep), lambda batch: batch.column(place).field(field)
@@ -65,4 +80,4 @@ def map_batches(df: DataFrame, function: Callable[[dict[str, list]], dict[str, l
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return modest_batches(df).mapInArrow(run, schema)

@@ -16,9 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from linkrisk.llm.common import remembered
+from linkrisk.llm.common import modest_batches, remembered
 from linkrisk.session import write_scratch
 
 #: Tokens that differ inside one step of the histogram, most pieces in a combination.
@@ -144,6 +145,25 @@ def encode_texts(texts: list[bytes | None], model, known: dict[str, bytes], kind
     return [b"".join(map(ids.__getitem__, s)) + end for s in split]
 
 
+def _by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """The rows anew in batches of ``most`` bytes of the column or one row more, whatever they came in."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < batch.num_rows:
+            before = int(ends[lo - 1]) if lo else 0
+            hi = min(batch.num_rows, int(np.searchsorted(ends, before + most - size)) + 1)
+            held.append(batch.slice(lo, hi - lo))
+            size += int(ends[hi - 1]) - before
+            lo = hi
+            if size >= most:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def tokens(docs: DataFrame, text: str, key: str, model: str, end: int) -> DataFrame:
     """``row, key, ids, n``: the ids of every whole text, then ``end``, as little-endian numbers of 2 or 4 bytes.
 
@@ -158,21 +178,14 @@ def tokens(docs: DataFrame, text: str, key: str, model: str, end: int) -> DataFr
         kind = "<u2" if model_.get_vocab_size() <= 1 << 16 else "<u4"
         width, last = int(kind[2]), np.array([end], dtype=kind).tobytes()
         known = remembered(f"packing {model}")  # the ids of the word parts, as bytes
-        for batch in batches:
-            body, lo = batch.column("body"), 0
-            while lo < batch.num_rows:  # some megabytes of text at a time
-                hi, size = lo, 0
-                while hi < batch.num_rows and (hi == lo or size < 8_000_000):
-                    size += len(body[hi].as_buffer() or b"")
-                    hi += 1
-                ids = packing.encode_texts(body.slice(lo, hi - lo).to_pylist(), model_, known, kind, last)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(lo, hi - lo), batch.column("key").slice(lo, hi - lo), pa.array(ids, pa.binary()), pa.array([len(i) // width for i in ids], pa.int64())],
-                    names=["row", "key", "ids", "n"],
-                )
-                lo = hi
-
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).cast("binary").alias("body"))
+        for batch in _by_size(batches, "body"):
+            ids = packing.encode_texts(batch.column("body").to_pylist(), model_, known, kind, last)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("key"), pa.array(ids, pa.binary()), pa.array([len(i) // width for i in ids], pa.int64())],
+                names=["row", "key", "ids", "n"],
+            )
+
+    rows = modest_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).cast("binary").alias("body"))
     kind = docs.schema[key].dataType.simpleString()
     return write_scratch(rows.mapInArrow(run, f"row long, key {kind}, ids binary, n long"), "packing-tokens")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from linkrisk.llm.common import map_batches, remembered, with_fields
+from linkrisk.llm.common import map_batches, modest_batches, remembered, with_fields
 from linkrisk.session import write_scratch
 
 SEED = 42
@@ -391,7 +391,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def fingerprints(docs: DataFrame, text: str, keep: list[str], size: int, distinct: bool = False, salts: tuple[int, ...] = (0,)) -> DataFrame:
     """``keep`` and ``fps``, a fingerprint (signed long) for each salt."""
-    source = docs.select(*keep, F.col(text).cast("binary").alias("_text"))
+    source = modest_batches(docs).select(*keep, F.col(text).cast("binary").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remembered("simhash")
