@@ -9,12 +9,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from linkrisk.llm import archives, bucket_digest, language, licenses, mixing, packing, repetition, sharding, simhash, templates
+from linkrisk.llm import archives, bucket_digest, common, language, licenses, mixing, packing, repetition, sharding, simhash, templates
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 EXTRA = "key string, h string, hash long, size long, shard int, row long, fps string, score string, part int, `_x.y` string"
@@ -195,6 +196,21 @@ def test_packing(docs, empty):
     assert packing.pack(empty).collect() == []
 
 
+def test_batches_by_size():
+    rows = [None, b"", b"x" * 30, b"xx", b"x" * 9, b"x" * 9, b"x" * 100, b"", None]
+    for step in (1, 2, 4, 20):
+        batches = [pa.RecordBatch.from_arrays([pa.array(rows[i : i + step], pa.binary())], names=["body"]) for i in range(0, len(rows), step)]
+        out = [b.column(0).to_pylist() for b in packing._by_size(iter(batches), "body", 20)]
+        assert out == [rows[:3], rows[3:6], rows[6:7], rows[7:]]
+    assert list(packing._by_size(iter([]), "body")) == []
+
+
+def test_word_ids_are_dropped_by_the_next_operator():
+    common.remembered("one")["a"] = 1
+    assert common.remembered("one") == {"a": 1}
+    assert common.remembered("two") == {} and common.remembered("one") == {}
+
+
 def test_packing_plan():
     assert sorted(packing.combinations(6)) == [(1, 1, 4), (1, 2, 3), (1, 5), (2, 2, 2), (2, 4), (3, 3), (6,)]
     histogram = {6: 5, 3: 11, 1: 40, 4: 9, 2: 3, 0: 7}
