@@ -31,6 +31,10 @@ HOT = 5_000
 ALL_PAIRS = 64
 #: Hashes whose bits are added up at once.
 SLICE = 200_000
+#: Bands of minimum hashes and hashes in each: two shingle sets of Jaccard similarity s share no band with probability (1 - s ** DEPTH) ** BANDS, 0.3 % at 0.8.
+BANDS, DEPTH = 32, 8
+#: Members of the largest band value that meet all others in the first round, and the factor from round to round.
+PIVOTS, GROWTH = 16, 8
 
 
 # --- fingerprints -------------------------------------------------------------------------
@@ -437,6 +441,61 @@ def _shingle_sets(rows: DataFrame, text: str, size: int) -> DataFrame:
     return map_batches(rows.select("h", F.col(text).cast("binary").alias("body")), sets, "h string, hashes array<long>")
 
 
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A signed key for each band of the minimum hashes of a set of shingle hashes; none for an empty set."""
+    if not len(hashes):
+        return []
+    drawn = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * DEPTH), dtype=np.uint64)
+    least = np.full(BANDS * DEPTH, (1 << 64) - 1, dtype=np.uint64)
+    for lo in range(0, len(hashes), 512):
+        np.minimum(least, ((hashes[lo : lo + 512, None] ^ drawn[0]) * (drawn[1] | np.uint64(1))).min(axis=0), out=least)
+    keys = [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(least.reshape(BANDS, DEPTH))]
+    return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
+
+
+def bands(rows: DataFrame, text: str, size: int) -> DataFrame:
+    """``h``, the number ``n`` of distinct shingles and a ``band`` for each band value that another text has too."""
+    def keyed(columns: dict[str, list]) -> dict[str, list]:
+        remembered("simhash")
+        hashes = [np.array([xxhash.xxh64_intdigest(s, SEED) for s in set(shingles(t, size))], dtype=np.uint64) for t in columns["body"]]
+        return {"h": columns["h"], "n": [len(x) for x in hashes], "bands": [band_keys(x) for x in hashes]}
+
+    found = map_batches(rows.select("h", F.col(text).cast("binary").alias("body")), keyed, "h string, n long, bands array<long>")
+    found = found.groupBy("h").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
+    found = write_scratch(found.select("h", "n", F.explode("bands").alias("band")), "dedupe-bands")
+    crowds = found.groupBy("band").count().where(F.col("count") > 1).select(F.col("band").alias("k"))
+    return write_scratch(found.join(crowds, F.col("band") == F.col("k"), "left_semi"), "dedupe-meetings")
+
+
+def meet(cells: DataFrame, joined: DataFrame, compared: DataFrame, alike, least: float) -> tuple[DataFrame, DataFrame]:
+    """``joined`` and ``compared`` with all pairs that share a band and are not joined by then.
+
+    In each round a growing share of the texts, by their hash, meets all the others under its band values; a value all
+    of whose texts are joined is done. A pair whose sizes alone rule out the similarity is left out.
+    """
+    largest = cells.groupBy("band").count().agg(F.max("count")).first()[0]
+    if largest is None:
+        return joined, compared
+    place = F.pmod(F.xxhash64("h", F.lit("pivot")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    low, share = 0.0, PIVOTS / largest
+    while low < 1.0:
+        share = share if share < 1.0 else 1.0
+        roots = write_scratch(components(joined), "dedupe-roots")
+        now = cells.withColumn("place", place).where(F.col("place") >= low).join(roots, F.col("h") == F.col("node"), "left")
+        now = write_scratch(now.select("h", "n", "band", "place", F.coalesce("root", "h").alias("root")), "dedupe-round")
+        apart = now.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select(F.col("band").alias("k"))
+        now = write_scratch(now.join(apart, F.col("band") == F.col("k"), "left_semi"), "dedupe-round")
+        if now.isEmpty():
+            break
+        first = now.where(F.col("place") < share).select("band", F.col("h").alias("x"), F.col("n").alias("m"), F.col("root").alias("r"))
+        both = first.join(now, "band").where((F.col("r") != F.col("root")) & (F.least("m", "n") >= F.lit(least) * F.greatest("m", "n")))
+        pairs = both.select(F.least("x", "h").alias("x"), F.greatest("x", "h").alias("y")).distinct()
+        pairs = write_scratch(pairs.join(compared, ["x", "y"], "left_anti"), "dedupe-pairs")
+        joined, compared = joined.union(alike(pairs)), compared.union(pairs)
+        low, share = share, share * GROWTH
+    return joined, compared
+
+
 def keep_one(
     docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = 4, salts: tuple[int, ...] = (0, 1, 2, 3, 4, 5), size: int = 5, least: float = 0.8
 ) -> DataFrame:
@@ -444,10 +503,11 @@ def keep_one(
 
     Equal texts are one group; null texts count as empty, and texts without words are alike. Other texts are linked if the sets of their ``size``-word shingles
     have a Jaccard similarity of ``least`` or more, which is computed for all pairs that come within
-    ``radius`` bits in the SimHash of their distinct words under any of the salts. One fingerprint of 64
-    bits would miss many pairs near the bound, several hash functions find nearly all. One text of
+    ``radius`` bits in the SimHash of their distinct words under any of the salts, or agree in a band of
+    minimum hashes of their shingles. SimHash finds scattered edits; text that is appended, cut off or put in as one stretch
+    moves it too far, the bands find that too. One text of
     each fingerprint is compared first, along a spanning forest where more than ``ALL_PAIRS`` fingerprints stand under one
-    key, then every other pair within ``radius`` bits that the similar ones have not joined.
+    key, then what shares a band, then every other pair within ``radius`` bits that the similar ones have not joined.
     Null keys are the least. Of fully equal (key, text) rows one stays.
     """
     body = F.coalesce(F.col(text), F.lit(""))
@@ -463,15 +523,19 @@ def keep_one(
     cells = nodes.select(F.posexplode("fps").alias("space", "fp"), "h").join(touched, F.col("fp") == F.col("t"), "left_semi")
     cells = write_scratch(cells, "dedupe-cells")  # the texts of all fingerprints that have company
 
+    meetings = bands(hashed, "text", size)
+    ends = cells.select("h").union(meetings.select("h")).distinct().join(nodes.select(F.col("h").alias("e"), "first"), F.col("h") == F.col("e")).select("e", "first")
+    ends = write_scratch(ends, "dedupe-ends")
+    same = (F.col("h") == F.col("e")) & F.col("key").eqNullSafe(F.col("first"))
+    company = write_scratch(_shingle_sets(hashed.join(ends, same), "text", size).dropDuplicates(["h"]), "dedupe-shingles")
+
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
     def alike(pairs: DataFrame) -> DataFrame:
         """Those of the written pairs whose shingle sets are similar enough, as ``a, b``."""
-        ends = pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct().join(nodes.select("h", "first"), F.col("e") == F.col("h")).select("e", "first")
-        ends = write_scratch(ends, "dedupe-ends")
-        same = (F.col("h") == F.col("e")) & F.col("key").eqNullSafe(F.col("first"))
-        sets = write_scratch(_shingle_sets(hashed.join(ends, same), "text", size).dropDuplicates(["h"]), "dedupe-shingles")
+        ends = pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct()
+        sets = company.join(ends, F.col("h") == F.col("e"), "left_semi")
         both = pairs.join(sets.select(F.col("h").alias("x"), F.col("hashes").alias("p")), "x").join(sets.select(F.col("h").alias("y"), F.col("hashes").alias("q")), "y")
         common = F.size(F.array_intersect("p", "q"))
         similar = both.where(common >= F.lit(least) * (F.size("p") + F.size("q") - common))
@@ -482,7 +546,7 @@ def keep_one(
     across = near.join(reps.select(F.col("fp").alias("a"), F.col("rep").alias("x")), "a").join(reps.select(F.col("fp").alias("b"), F.col("rep").alias("y")), "b")
     within = cells.join(shared, (F.col("space") == F.col("s")) & (F.col("fp") == F.col("f"))).select(F.col("rep").alias("x"), F.col("h").alias("y"))
     pairs = write_scratch(ordered(across.select("x", "y").union(within)), "dedupe-pairs")
-    joined = alike(pairs)
+    joined, pairs = meet(meetings, alike(pairs), pairs, alike, least)
     roots = write_scratch(components(joined), "dedupe-roots")
     # Then every pair of texts within the radius that is neither compared nor joined.
     members = cells.select("fp", "h").distinct().join(roots, F.col("h") == F.col("node"), "left").select("fp", "h", F.coalesce("root", "h").alias("root"))

@@ -427,3 +427,20 @@ def test_pipeline(spark, docs, empty):
     for _, stage in corpus_pipeline.STAGES:
         nothing = stage(spark, nothing, "")
     assert nothing.collect() == []
+
+
+def test_keep_one_finds_stretches(spark):
+    r, rows, pairs = random.Random(13), [], Counter()
+    for i in range(240):
+        words = _prose(1000 + i, r.randint(120, 400)).split()
+        kind, wanted = ("appended", "cut", "inserted")[i % 3], (0.81, 0.86, 0.91, 0.94)[i // 3 % 4]
+        more = _prose(5000 + i, max(1, round(len(words) * (1 - wanted) / wanted) - 4)).split()
+        at = {"appended": len(words), "inserted": len(words) // 2}.get(kind, 0)
+        other = words[: len(words) - round(len(words) * (1 - wanted))] if kind == "cut" else [*words[:at], *more, *words[at:]]
+        a, b = (set(simhash.shingles(" ".join(w).encode(), 5)) for w in (words, other))
+        if len(a & b) >= 0.8 * len(a | b):
+            rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+            pairs[kind] += 1
+    assert min(pairs.values()) > 60
+    left = [x.doc_id for x in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len([i for i in left if i % 2]) <= 3 and len([i for i in left if i % 2 == 0]) == sum(pairs.values())
