@@ -19,6 +19,8 @@ from linkrisk.session import write_scratch
 
 #: A subtree is template from so many pages of a host on that make up this share of the host's pages.
 MIN_PAGES, MIN_SHARE = 5, 0.5
+#: Whatever the share, a subtree of so many characters is template from so many different pages on, and inside articles from so many different articles on.
+MIN_CHARS, MANY_PAGES, MANY_ARTICLES = 40, 10, 50
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -154,6 +156,29 @@ def _named(node: Node, inside: bool) -> bool:
     return False
 
 
+def subtrees(nodes: list[Node]) -> dict[int, tuple[int, bool]]:
+    """For each subtree hash of a hashed page the hash of what it stands in, and whether that is an article.
+
+    This is the outermost article (the main element if there is no article), else the page. Texts under ``MIN_CHARS`` stand in 0.
+    """
+    length = {id(n): 0 for n in nodes}
+    for node in reversed(nodes):
+        length[id(node)] += sum(len(" ".join(c.split())) for c in node.content if not isinstance(c, Node))
+        if node.parent is not None:
+            length[id(node.parent)] += length[id(node)]
+    any_article = any(n.tag == "article" and not _named(n, True) for n in nodes)
+    around: dict[int, Node | None] = {id(nodes[0]): None}
+    own: dict[int, tuple[int, bool]] = {}
+    for node in nodes[1:]:
+        within = around[id(node.parent)]
+        around[id(node)] = within or (node if node.tag == "article" or (not any_article and _is_main(node)) else None)
+        if node.tag not in RAW and node.tag not in VOID:
+            long = length[id(node)] >= MIN_CHARS
+            if node.hash not in own or within is not None:
+                own[node.hash] = ((within or nodes[0]).hash if long else 0, within is not None)
+    return own
+
+
 def _is_main(node: Node) -> bool:
     return node.tag in ("article", "main") or bool(re.search(r"\brole\s*=\s*[\"']?(?:main|article)\b", node.attrs, re.I))
 
@@ -161,8 +186,8 @@ def _is_main(node: Node) -> bool:
 def extract(nodes: list[Node], template: frozenset[int]) -> str:
     """The main text: blocks joined by two line ends.
 
-    Articles hold it if there are any, else the main element, else the body. What holds
-    an article or main element is never deleted for its name or hash.
+    All that is neither named nor template belongs to it, inside an article or main element and
+    outside. What holds an article or main element is never deleted for its name or hash.
     """
     holds: set[int] = set()
     for node in nodes:
@@ -172,7 +197,6 @@ def extract(nodes: list[Node], template: frozenset[int]) -> str:
                 holds.add(id(up))
                 up = up.parent
     any_article = any(n.tag == "article" and not _named(n, True) for n in nodes)
-    any_main = bool(holds)
     blocks: list[str] = []
     line: list[str] = []
 
@@ -190,8 +214,7 @@ def extract(nodes: list[Node], template: frozenset[int]) -> str:
             flush()
             continue
         if isinstance(node, str):
-            if inside or not any_main:
-                line.append(node)
+            line.append(node)
             continue
         main = node.tag == "article" or (not any_article and _is_main(node))
         keep = id(node) in holds and not (main and _named(node, True))
@@ -213,14 +236,20 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
 def template_hashes(rows: DataFrame) -> DataFrame:
-    """``host, hash`` of subtrees on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the pages of a host.
+    """``host, hash`` of subtrees on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the pages of a host, or in many different pages or articles of it.
 
-    ``rows`` has each hash once a page, and hash 0 once for the page itself.
+    ``rows`` has each hash once a page with what ``subtrees`` says of it (``around, inside``), and hash 0 once for the page itself.
+    Copies of a page or an article count once in the second rule, so an article that is served under many addresses stays.
     """
     counts = rows.groupBy("host", "hash").count().where(F.col("count") >= MIN_PAGES)
     counts = write_scratch(counts, "template-counts")
     pages = counts.where("hash = 0").select(F.col("host").alias("h"), F.col("count").alias("pages"))
-    return counts.where("hash <> 0").join(pages, F.col("host") == F.col("h")).where(F.col("count") >= MIN_SHARE * F.col("pages")).select("host", "hash")
+    share = counts.where("hash <> 0").join(pages, F.col("host") == F.col("h")).where(F.col("count") >= MIN_SHARE * F.col("pages")).select("host", "hash")
+    often = counts.where((F.col("hash") != 0) & (F.col("count") >= MANY_PAGES)).select("host", "hash")
+    places = rows.where("around <> 0").join(often, ["host", "hash"], "left_semi").select("host", "hash", "inside", "around").distinct()
+    many = places.groupBy("host", "hash").agg(F.count_if(~F.col("inside")).alias("pages"), F.count_if("inside").alias("articles"))
+    many = many.where((F.col("pages") >= MANY_PAGES) | (F.col("articles") >= MANY_ARTICLES)).select("host", "hash")
+    return share.union(many).distinct()
 
 
 def main_text(pages: DataFrame, page: str = "html", url: str = "url", key: str = "page_id") -> DataFrame:
@@ -240,15 +269,20 @@ def main_text(pages: DataFrame, page: str = "html", url: str = "url", key: str =
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hosts, found = [], [], []
+            ids, hosts, found, around, inside = [], [], [], [], []
             for row, name, text in zip(*[c.to_pylist() for c in batch.columns]):
                 nodes = parse(text)
                 hash_subtrees(nodes)
-                own = {n.hash for n in nodes[1:] if n.tag not in RAW and n.tag not in VOID} | {0}
+                own = {0: (0, False)} | subtrees(nodes)
                 ids.extend([row] * len(own))
                 hosts.extend([name] * len(own))
                 found.extend(own)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hosts, pa.string()), pa.array(found, pa.int64())], names=["row", "host", "hash"])
+                around.extend(a for a, _ in own.values())
+                inside.extend(i for _, i in own.values())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(hosts, pa.string()), pa.array(found, pa.int64()), pa.array(around, pa.int64()), pa.array(inside, pa.bool_())],
+                names=["row", "host", "hash", "around", "inside"],
+            )
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,7 +296,7 @@ def main_text(pages: DataFrame, page: str = "html", url: str = "url", key: str =
                 names=["key", "url", "text", "n_chars"],
             )
 
-    seen = write_scratch(rows.select("row", "host", "page").mapInArrow(hashes, "row long, host string, hash long"), "template-subtrees")
+    seen = write_scratch(rows.select("row", "host", "page").mapInArrow(hashes, "row long, host string, hash long, around long, inside boolean"), "template-subtrees")
     template = write_scratch(template_hashes(seen).select(F.col("host").alias("h"), F.col("hash").alias("x")), "template-hashes")
     marked = seen.join(template, (F.col("host") == F.col("h")) & (F.col("hash") == F.col("x")))
     marked = write_scratch(marked.groupBy("row").agg(F.collect_set("hash").alias("template")).withColumnRenamed("row", "r"), "template-marked")

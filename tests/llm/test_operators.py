@@ -386,6 +386,17 @@ def test_main_text(spark):
     assert templates.main_text(spark.createDataFrame([], PAGES)).collect() == []
 
 
+def test_templates_of_a_large_host(spark):
+    banner = "<div><p>This banner stands on some of the pages of a large host.</p></div>"
+    page = "<html><body>{b}<div><p>Outside the article number {i}.</p></div><article><p>Text of article {i}.</p></article></body></html>"
+    rows = [(i, f"https://l.example/{i}", page.format(b=banner if i < 12 else "", i=i), "h", "k") for i in range(40)]
+    copied = "<html><body><article><p>An article that is served under many addresses of this host stays whole.</p></article></body></html>"
+    rows += [(100 + i, f"https://l.example/c{i}", copied, "h", "k") for i in range(12)]
+    got = {r.page_id: r.text for r in templates.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(got[i] == f"Outside the article number {i}.\n\nText of article {i}." for i in range(40))
+    assert all("stays whole" in got[100 + i] for i in range(12))
+
+
 def test_deep_page():
     nodes = templates.parse("<div>" * 20_000 + "deep")
     templates.hash_subtrees(nodes)
