@@ -49,6 +49,11 @@ RULES = [
     ("cc-by-notice", "CC-BY-4.0", ["cc-by-notice"]),
 ]
 
+#: One sentence of a canonical text that says what several known sentences say.
+TOGETHER = {"licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license": ["apache-notice", "apache-use"]}
+#: A known sentence of so many words counts wherever its words stand; a shorter one must begin and end with a line or sentence.
+LONG = 12
+
 
 def sentences(text: Column) -> Column:
     """Sentences, in order: cut at line ends and after . ! or ? before white space; letters and digits in ASCII lower case."""
@@ -56,20 +61,35 @@ def sentences(text: Column) -> Column:
     return F.transform(lines, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
 
 
+def identifiers(cut: Column, known: dict[str, str]) -> Column:
+    """The identifiers of the known sentences in normalised ``cut`` ones, in order; a known sentence may run over several lines."""
+    phrases = {text: [name] for name, text in known.items()} | {t: ids for t, ids in TOGETHER.items() if all(i in known for i in ids)}
+    joined = F.concat(F.lit("|"), F.array_join(cut, "|"), F.lit("|"))
+    left, likely = set(phrases), F.lit(False)  # few words, one of which every known sentence has
+    while left:
+        word = max(sorted({w for p in left for w in p.split()}), key=lambda w: (sum(w in p for p in left) * (len(w) > 4), len(w)))
+        likely = likely | F.contains(joined, F.lit(word))
+        left = {p for p in left if word not in p}
+    marked = joined
+    for phrase in sorted(phrases, key=lambda p: (-len(p), p)):
+        words = phrase.split()
+        edge = "[ |]" if len(words) >= LONG else "[|]"
+        marked = F.regexp_replace(marked, f"(?<={edge}){'[ |]'.join(words)}(?={edge})", "|" + "".join(f"#{i}|" for i in phrases[phrase]))
+    return F.regexp_extract_all(F.when(likely, marked).otherwise(F.lit("")), F.lit("#([^|]+)"), F.lit(1))
+
+
 def recognise(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",), known: dict[str, str] | None = None, rules=None) -> DataFrame:
     """``keep``, ``n_sentences``, ``sentence_ids`` in order, ``rules`` matched and ``licenses`` of every whole text.
 
-    A sentence counts if it is not empty once normalised. Identifiers must follow each other
+    A sentence counts if it is not empty once normalised. Known sentences are found over line ends, blank lines and
+    comment leaders too, see ``LONG``. Identifiers must follow each other
     without another identifier between; unknown sentences may stand there. Rules are tried in
     order, and what one has matched is closed to those after it. ``licenses`` are sorted and distinct. A null or empty text
     has none. No row needs another, so there is no shuffle; the rules are small fixed data.
     """
     known, rules = known or SENTENCES, rules or RULES
-    table = F.create_map(*[F.lit(x) for pair in known.items() for x in (pair[1], pair[0])])
-    lengths = sorted({len(s) for s in known.values()})
     found = docs.select(*keep, F.filter(sentences(F.col(text)), lambda s: s != "").alias("_sentences"))
-    likely = F.filter("_sentences", lambda s: F.length(s).isin(lengths))
-    ids = F.filter(F.transform(likely, lambda s: table[s]), lambda i: i.isNotNull())
+    ids = identifiers(F.col("_sentences"), known)
     found = found.select(*keep, F.size("_sentences").cast("long").alias("n_sentences"), ids.alias("sentence_ids"))
     left = F.concat(F.lit(";"), F.array_join(F.transform("sentence_ids", lambda i: F.concat(i, F.lit(";"))), ";"))
     found = found.withColumn("_left", left)

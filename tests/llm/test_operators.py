@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -421,6 +422,45 @@ def test_licenses(spark, empty):
     assert licenses.recognise(empty).collect() == []
 
 
+LICENCES = {
+    "apache-header": '''Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.''',
+    "mit-text": '''Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE.''',
+    "gpl3-header": '''This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with this program.  If not, see <https://www.gnu.org/licenses/>.''',
+    "bsd3-text": '''Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.''',
+    "mit-notice": "Released under the MIT License.",
+}
+LICENCES["bsd2-text"] = LICENCES["bsd3-text"][: LICENCES["bsd3-text"].index("3. Neither")]
+
+
+def test_licenses_wrapped_and_commented(spark):
+    rows = []
+    for name, text in LICENCES.items():
+        for width in (20, 60, 80, 10_000):
+            lines = [x for part in text.split("\n\n") for x in [*textwrap.wrap(part, width, break_long_words=False), ""]]
+            rows += [(name, "\n".join(f"{lead} {x}".strip() for x in lines)) for lead in ("", "#", " *", "//")]
+    rows.append(("", "This was never released under the\nMIT license, nor is it software."))
+    got = licenses.recognise(spark.createDataFrame(rows, "name string, text string"), keep=["name"]).collect()
+    assert len(got) == len(rows) and all(r.rules == [r.name][: len(r.name)] for r in got)
+
+
 def test_pipeline(spark, docs, empty):
     step = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
