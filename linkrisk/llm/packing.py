@@ -9,8 +9,6 @@ the cut ends are packed greedily: laid end to end and cut at the window's length
 
 from __future__ import annotations
 
-import os
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -19,15 +17,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from linkrisk.llm.common import modest_batches, remembered
+from linkrisk.llm.common import modest_batches
 from linkrisk.session import write_scratch
 
 #: Tokens that differ inside one step of the histogram, most pieces in a combination.
 STEP, DEPTH = 16, 3
 #: Parts in which pieces of a length step, and residual pieces, are numbered.
 PARTS = 1024
-#: Word parts whose ids a worker remembers.
-REMEMBERED = 800_000
 
 
 # --- the plan on the histogram ------------------------------------------------------------
@@ -100,51 +96,6 @@ def solve(histogram: dict[int, int], steps: int) -> list[tuple[tuple[int, ...],
 # --- tokens -------------------------------------------------------------------------------
 
 
-def tokenizer(name: str):
-    """A public tokenizer by the name of its file, or by its path."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-
-    if os.path.sep not in name:
-        import public_tokenizers
-
-        name = public_tokenizers.path(name)
-    return Tokenizer.from_file(name)
-
-
-PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-
-
-def _parts_of(word: bytes) -> tuple[str, ...]:
-    """A word of letters with punctuation behind it as these two, in lower case, any other word as it is.
-
-    The tokenizer lowers case and parts letters from punctuation itself, so both give the same ids. A
-    Greek sigma is left alone, as its lower case depends on its place.
-    """
-    text = word.decode()
-    letters = text.rstrip(PUNCTUATION)
-    lower = letters.lower()
-    if letters.isalpha() and lower.isalpha() and "\u03a3" not in letters:
-        return (lower, text[len(letters) :]) if len(letters) < len(text) else (lower,)
-    return (text,)
-
-
-def encode_texts(texts: list[bytes | None], model, known: dict[str, bytes], kind: str, end: bytes) -> list[bytes]:
-    """The ids of every text, then ``end``; each distinct part of a word is encoded once and kept in ``known``."""
-    split = [(t or b"").split() for t in texts]
-    words = {w: _parts_of(w) for w in set().union(*split)}
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = list({p for parts in words.values() for p in parts if p not in known})
-    letter = "H" if kind == "<u2" else "I"
-    for lo in range(0, len(new), 5_000):
-        part = new[lo : lo + 5_000]
-        for p, e in zip(part, model.encode_batch_fast(part, add_special_tokens=False)):
-            known[p] = struct.pack(f"<{len(e.ids)}{letter}", *e.ids)
-    ids = {w: b"".join([known[p] for p in parts]) for w, parts in words.items()}
-    return [b"".join(map(ids.__getitem__, s)) + end for s in split]
-
-
 def _by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """The rows anew in batches of ``most`` bytes of the column or one row more, whatever they came in."""
     held, size = [], 0
@@ -167,25 +118,18 @@ def _by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 8_000_0
 def tokens(docs: DataFrame, text: str, key: str, model: str, end: int) -> DataFrame:
     """``row, key, ids, n``: the ids of every whole text, then ``end``, as little-endian numbers of 2 or 4 bytes.
 
-    The tokenizer never joins over ASCII white space, so words can be encoded on their own.
     ``row`` numbers the documents, as the table is written, so equal rows stay apart.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from linkrisk.llm import packing
+        from linkrisk.llm.encoding import Encoder, binary_rows, with_end
 
-        model_ = packing.tokenizer(model)
-        kind = "<u2" if model_.get_vocab_size() <= 1 << 16 else "<u4"
-        width, last = int(kind[2]), np.array([end], dtype=kind).tobytes()
-        known = remembered(f"packing {model}")  # the ids of the word parts, as bytes
+        encoder = Encoder.of_worker(model)
         for batch in _by_size(batches, "body"):
-            ids = packing.encode_texts(batch.column("body").to_pylist(), model_, known, kind, last)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("key"), pa.array(ids, pa.binary()), pa.array([len(i) // width for i in ids], pa.int64())],
-                names=["row", "key", "ids", "n"],
-            )
+            ids, n = with_end(*encoder.encode(batch.column("body")), end)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("key"), binary_rows(ids, n), pa.array(n)], names=["row", "key", "ids", "n"])
 
-    rows = modest_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).cast("binary").alias("body"))
+    rows = modest_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("body"))
     kind = docs.schema[key].dataType.simpleString()
     return write_scratch(rows.mapInArrow(run, f"row long, key {kind}, ids binary, n long"), "packing-tokens")
 
@@ -273,7 +217,7 @@ def arrange(lengths: DataFrame, window: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str = "word_bpe_49k.json", window: int = 2048, end: int = 1) -> DataFrame:
-    """All documents in sequences of ``window`` tokens, a row for each piece.
+    """All documents in sequences of ``window`` tokens of any tokenizer file, a row for each piece.
 
     ``key, start, length, ids_crc32, doc_tokens, sequence_id, offset``. Each token lies in one piece;
     ``window`` is a power of two of at least ``STEP``. A null or empty text is the end token alone. Equal

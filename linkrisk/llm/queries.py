@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkrisk.llm import archives, bucket_digest, language, licenses, mixing, packing, repetition, sharding, simhash, templates
+from linkrisk.llm import archives, bucket_digest, language, licenses, mixing, negatives, packing, repetition, sharding, simhash, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -152,3 +152,33 @@ def op5_packing(spark, sf):
 def op6_archives(spark, sf):
     """All pages through ARC and WARC files, and what the files say of them."""
     return archives.archive(pages(spark, sf))
+
+
+def embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/embeddings.parquet")
+
+
+NEGATIVES_SQL = """
+WITH rows AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0),
+near AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same AND id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT n.anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM near n JOIN scored s ON n.anchor_id = s.anchor_id AND NOT s.same
+  AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY row_number() OVER best <= 3
+WINDOW best AS (PARTITION BY n.anchor_id, positive_id ORDER BY s.score DESC, s.id)"""
+
+
+@query("op13_threshold", NEGATIVES_SQL)
+def op13_threshold(spark, sf):
+    """Hard negatives of every 50th vector against all vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(embeddings(spark, sf), label=label)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from linkrisk.llm import archives, bucket_digest, common, language, licenses, mixing, packing, repetition, sharding, simhash, templates
+from linkrisk.llm import archives, bucket_digest, common, encoding, language, licenses, mixing, packing, repetition, sharding, simhash, templates
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 EXTRA = "key string, h string, hash long, size long, shard int, row long, fps string, score string, part int, `_x.y` string"
@@ -177,7 +177,7 @@ def test_longest_repeats_against_brute_force():
 
 def test_packing(docs, empty):
     rows = packing.pack(docs, window=256).collect()
-    model = packing.tokenizer("word_bpe_49k.json")
+    model = encoding.tokenizer("word_bpe_49k.json")
     ids = [[*model.encode(t or "", add_special_tokens=False).ids, 1] for _, t, _, _ in TEXTS]
     assert sum(r.length for r in rows) == sum(map(len, ids))
     whole = {(i, zlib.crc32(np.array(x, "<u4").tobytes())): len(x) for (i, _, _, _), x in zip(TEXTS, ids)}
