@@ -173,8 +173,8 @@ near AS (
 SELECT n.anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
 FROM near n JOIN scored s ON n.anchor_id = s.anchor_id AND NOT s.same
   AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
-QUALIFY row_number() OVER best <= 3
-WINDOW best AS (PARTITION BY n.anchor_id, positive_id ORDER BY s.score DESC, s.id)"""
+WINDOW best AS (PARTITION BY n.anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER best <= 3"""
 
 
 @query("op13_threshold", NEGATIVES_SQL)
