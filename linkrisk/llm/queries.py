@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkrisk.llm import archives, bucket_digest, language, licenses, mixing, negatives, packing, repetition, sharding, simhash, templates
+from linkrisk.llm import archives, bucket_digest, language, licenses, mixing, negatives, packing, repetition, runs, sharding, simhash, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -182,3 +182,27 @@ def op13_threshold(spark, sf):
     """Hard negatives of every 50th vector against all vectors."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(embeddings(spark, sf), label=label)
+
+
+def planted_run(words: list[bytes], h: int | None) -> list[bytes]:
+    """A tenth of the documents, by the checksum ``h`` of their key, repeat a stretch of their words to their end."""
+    if h is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (-(-(n - a) // p)))[: n - a]
+
+
+@query("op11_runs")
+def op11_runs(spark, sf):
+    """Periodic runs of the words of all documents; a row without a key is looked at as it is."""
+    key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = runs.find(documents(spark, sf), rewrite=planted_run, by=key)
+    best = found.withColumn("best", runs.best_run())
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
