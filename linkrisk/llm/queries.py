@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkrisk.llm import archives, bucket_digest, language, licenses, mixing, negatives, packing, repetition, runs, sharding, simhash, templates
+from linkrisk.llm import archives, bucket_digest, directcodes, language, licenses, mixing, negatives, packing, repetition, runs, sharding, simhash, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -206,3 +206,9 @@ def op11_runs(spark, sf):
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
     )
+
+
+@query("op12_directcodes")
+def op12_directcodes(spark, sf):
+    """The ids of all documents, written in directly addressable codes and read back."""
+    return directcodes.encode(documents(spark, sf))
