@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: A word is a run of anything but the six ASCII white-space characters.
@@ -81,3 +83,22 @@ def map_batches(df: DataFrame, function: Callable[[dict[str, list]], dict[str, l
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return modest_batches(df).mapInArrow(run, schema)
+
+
+def by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """The rows anew in batches of ``most`` bytes of the column or one row more, whatever they came in."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < batch.num_rows:
+            before = int(ends[lo - 1]) if lo else 0
+            hi = min(batch.num_rows, int(np.searchsorted(ends, before + most - size)) + 1)
+            held.append(batch.slice(lo, hi - lo))
+            size += int(ends[hi - 1]) - before
+            lo = hi
+            if size >= most:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)

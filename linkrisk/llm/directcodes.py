@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from linkrisk.llm.common import modest_batches
+from linkrisk.llm.common import by_size, modest_batches
 from linkrisk.session import scratch_path, write_scratch
 
 MAGIC = b"DAC1"
@@ -214,7 +214,7 @@ def write(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", m
             data = encode_segment(part, number, keys, np.concatenate([n for _, n in held]), np.concatenate([i for i, _ in held]))
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["segment"])
 
-        for batch in batches:
+        for batch in by_size(batches, "body"):
             ids, counts = with_end(*encoder.encode(batch.column("body")), end)
             ends, names, lo = np.cumsum(counts), batch.column("key").to_pylist(), 0
             while lo < len(names):

@@ -21,8 +21,16 @@ from linkrisk.llm.common import remembered
 #: Bytes that each of the two generations of remembered pieces may take in a worker, and what an entry takes besides its strings.
 REMEMBERED, ENTRY = 48_000_000, 150
 #: Bytes of text whose pieces are looked at together.
-TOGETHER = 4_000_000
+TOGETHER = 8_000_000
 _CUT = "\x01"
+#: The only two ways of making tokens from text whose tokens ``parts`` knows beforehand.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_LOWER_WORDS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+}
+#: Latin letters that have one lower-case letter each, and ASCII punctuation without the apostrophe.
+_LETTERS, _MARKS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+", r"[!-&(-/:-@\[-`{-~]+"
 
 
 def tokenizer(name: str):
@@ -59,6 +67,13 @@ def cutting(settings: dict) -> str:
     return "none"
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary: itself, or the next free one from 256 on."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     """Ids of texts by the tokenizer of a file, as the tokenizer gives them without special tokens added."""
 
@@ -70,11 +85,31 @@ class Encoder:
         self.special = [t["content"] for t in settings.get("added_tokens") or [] if re.search(r"\s", t["content"])]
         if self.special:
             self.cutting = "none"
+        self.known = self._is_known(settings)
+        self.plain = re.compile(f" ?{_LETTERS}| ?{_MARKS}").fullmatch
+        self.added = [t["content"] for t in settings.get("added_tokens") or []]
+        self.letters, self.lower = byte_letters(), self.cutting == "words"
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
+        self.letter = "H" if self.dtype.itemsize == 2 else "I"
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.held = 0
 
+    def _is_known(self, settings: dict) -> bool:
+        """Whether the settings are one of the two kinds that are known in full."""
+        first, model = settings.get("pre_tokenizer") or {}, settings.get("model") or {}
+        if model.get("type") != "BPE" or model.get("dropout"):
+            return False
+        if self.cutting == "spaces":
+            return first == _BYTE_LEVEL
+        made = first.get("pretokenizers") or [{}]
+        return (
+            self.cutting == "words"
+            and settings.get("normalizer") == _LOWER_WORDS["normalizer"]
+            and made[0].get("pattern") == {"Regex": _LOWER_WORDS["pattern"]}
+            and made[1:] == [_BYTE_LEVEL | {"use_regex": False}]
+        )
+
     @classmethod
     def of_worker(cls, name: str) -> "Encoder":
         """The one that this Python worker keeps for a tokenizer."""
@@ -114,30 +149,36 @@ class Encoder:
         """The pieces of all texts, and the bounds of those of each text."""
         if self.cutting == "none":
             return texts, np.arange(len(texts) + 1)
+        cut = texts
+        if self.known:  # a letter and a mark behind or before it are never one token
+            sign = " " if self.cutting == "words" else _CUT
+            cut = pc.replace_substring_regex(cut, f"({_LETTERS[:-1]})({_MARKS[:-1]})", rf"\1{sign}\2")
+            cut = pc.replace_substring_regex(cut, f"({_MARKS[:-1]})({_LETTERS[:-1]})", rf"\1{sign}\2")
         if self.cutting == "words":
-            lists = pc.ascii_split_whitespace(texts)
+            lists = pc.ascii_split_whitespace(cut)
         else:
-            lists = pc.split_pattern(pc.replace_substring(texts, " ", f"{_CUT} "), _CUT)
+            cut = pc.replace_substring_regex(cut, r"(\S)\n", f"\\1{_CUT}\n")
+            lists = pc.split_pattern(pc.replace_substring(cut, " ", f"{_CUT} "), _CUT)
         pieces, bounds = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
-        bounds = bounds - bounds[0]
-        if self.cutting == "spaces":
-            pieces, bounds = self._mended(texts, pieces, bounds)
-        return pieces, bounds
+        return self._mended(texts, pieces, bounds - bounds[0])
 
     def _mended(self, texts: pa.Array, pieces: pa.Array, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-        """Texts in which a space stands behind white space, or that hold the cutting sign, are cut anew with a pattern."""
-        blank = pc.or_(pc.utf8_is_space(pc.utf8_slice_codeunits(pieces, -1)), pc.equal(pieces, "")).to_numpy(zero_copy_only=False)
-        blank[bounds[1:][np.diff(bounds) > 0] - 1] = False  # the last piece of a text has none behind it
-        before = np.append(0, np.cumsum(blank))
-        odd = before[bounds[1:]] > before[bounds[:-1]]
-        odd |= pc.match_substring(texts, _CUT).to_numpy(zero_copy_only=False)
+        """Texts in which a space stands behind white space are cut anew by a pattern; what holds an added token or the sign stays whole."""
+        odd = np.zeros(len(texts), bool)
+        for sign in [*self.added, _CUT]:
+            odd |= pc.match_substring(texts, sign).to_numpy(zero_copy_only=False)
+        whole = odd.copy()
+        if self.cutting == "spaces":
+            blank = pc.or_(pc.utf8_is_space(pc.utf8_slice_codeunits(pieces, -1)), pc.equal(pieces, "")).to_numpy(zero_copy_only=False)
+            blank[bounds[1:][np.diff(bounds) > 0] - 1] = False  # the last piece of a text has none behind it
+            before = np.append(0, np.cumsum(blank))
+            odd |= before[bounds[1:]] > before[bounds[:-1]]
         if not odd.any():
             return pieces, bounds
-        sizes, parts = np.diff(bounds), []
-        at = np.flatnonzero(odd).tolist()
-        last = 0
-        for i in at:
-            anew = re.split(r"(?<=\S)(?= )", texts[i].as_py())
+        sizes, parts, last = np.diff(bounds), [], 0
+        for i in np.flatnonzero(odd).tolist():
+            text = texts[i].as_py()
+            anew = [text] if whole[i] else re.split(r"(?<=\S)(?=[ \n])", text)
             parts += [pieces.slice(bounds[last], bounds[i] - bounds[last]), pa.array(anew, pa.string())]
             sizes[i] = len(anew)
             last = i + 1
@@ -147,29 +188,41 @@ class Encoder:
     def _look_up(self, pieces: list[str]) -> list[bytes]:
         """The ids of distinct pieces as bytes; what has not been met for two generations is forgotten."""
         young, old = self.young, self.old
-        new = [p for p in pieces if p not in young and p not in old]
-        letter = "H" if self.dtype.itemsize == 2 else "I"
-        gc.disable()  # very many small lists are made and dropped at once
-        try:
-            for lo in range(0, len(new), 5_000):
-                part = new[lo : lo + 5_000]
-                for p, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                    ids = array(letter, e.ids).tobytes()
-                    young[p] = ids
-                    self.held += len(p) + len(ids) + ENTRY
-        finally:
-            gc.enable()
-        out = []
+        out, new, hard = [], [], []
         for p in pieces:
             ids = young.get(p)
             if ids is None:
-                ids = young[p] = old[p]
-                self.held += len(p) + len(ids) + ENTRY
+                ids = old.get(p)
+                if ids is not None:
+                    self._keep(p, ids)
+                elif self.known and self.plain(p):
+                    new.append(len(out))
+                else:
+                    hard.append(len(out))
             out.append(ids)
+        gc.disable()  # very many small lists are made and dropped at once
+        try:
+            # plain pieces are one token before merging, which the model takes as the characters that stand for their bytes
+            joined = "\0".join([pieces[i] for i in new])
+            joined = (joined.lower() if self.lower else joined).encode().decode("latin-1").translate(self.letters)
+            merge = self.model.model.tokenize
+            for i, p in zip(new, joined.split(self.letters[0])):
+                out[i] = self._keep(pieces[i], array(self.letter, [t.id for t in merge(p)]).tobytes())
+            for lo in range(0, len(hard), 5_000):
+                some = hard[lo : lo + 5_000]
+                for i, e in zip(some, self.model.encode_batch_fast([pieces[i] for i in some], add_special_tokens=False)):
+                    out[i] = self._keep(pieces[i], array(self.letter, e.ids).tobytes())
+        finally:
+            gc.enable()
         if self.held > REMEMBERED:
             self.old, self.young, self.held = young, {}, 0
         return out
 
+    def _keep(self, piece: str, ids: bytes) -> bytes:
+        self.young[piece] = ids
+        self.held += len(piece) + len(ids) + ENTRY
+        return ids
+
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids with ``end`` behind those of each text, and the counts with it."""

@@ -14,10 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from linkrisk.llm.common import modest_batches
+from linkrisk.llm.common import by_size, modest_batches
 from linkrisk.session import write_scratch
 
 #: Tokens that differ inside one step of the histogram, most pieces in a combination.
@@ -96,25 +95,6 @@ def solve(histogram: dict[int, int], steps: int) -> list[tuple[tuple[int, ...],
 # --- tokens -------------------------------------------------------------------------------
 
 
-def _by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
-    """The rows anew in batches of ``most`` bytes of the column or one row more, whatever they came in."""
-    held, size = [], 0
-    for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        lo = 0
-        while lo < batch.num_rows:
-            before = int(ends[lo - 1]) if lo else 0
-            hi = min(batch.num_rows, int(np.searchsorted(ends, before + most - size)) + 1)
-            held.append(batch.slice(lo, hi - lo))
-            size += int(ends[hi - 1]) - before
-            lo = hi
-            if size >= most:
-                yield pa.concat_batches(held)
-                held, size = [], 0
-    if held:
-        yield pa.concat_batches(held)
-
-
 def tokens(docs: DataFrame, text: str, key: str, model: str, end: int) -> DataFrame:
     """``row, key, ids, n``: the ids of every whole text, then ``end``, as little-endian numbers of 2 or 4 bytes.
 
@@ -125,7 +105,7 @@ def tokens(docs: DataFrame, text: str, key: str, model: str, end: int) -> DataFr
         from linkrisk.llm.encoding import Encoder, binary_rows, with_end
 
         encoder = Encoder.of_worker(model)
-        for batch in _by_size(batches, "body"):
+        for batch in by_size(batches, "body"):
             ids, n = with_end(*encoder.encode(batch.column("body")), end)
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("key"), binary_rows(ids, n), pa.array(n)], names=["row", "key", "ids", "n"])
 

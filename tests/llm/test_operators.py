@@ -201,9 +201,9 @@ def test_batches_by_size():
     rows = [None, b"", b"x" * 30, b"xx", b"x" * 9, b"x" * 9, b"x" * 100, b"", None]
     for step in (1, 2, 4, 20):
         batches = [pa.RecordBatch.from_arrays([pa.array(rows[i : i + step], pa.binary())], names=["body"]) for i in range(0, len(rows), step)]
-        out = [b.column(0).to_pylist() for b in packing._by_size(iter(batches), "body", 20)]
+        out = [b.column(0).to_pylist() for b in common.by_size(iter(batches), "body", 20)]
         assert out == [rows[:3], rows[3:6], rows[6:7], rows[7:]]
-    assert list(packing._by_size(iter([]), "body")) == []
+    assert list(common.by_size(iter([]), "body")) == []
 
 
 def test_word_ids_are_dropped_by_the_next_operator():
