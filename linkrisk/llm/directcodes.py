@@ -3,7 +3,7 @@
 An id is cut into chunks from its low bits up. Level 0 holds the first chunk of every id, level 1 the second chunk
 of those that go on, and so forth. A bitmap says for each chunk of a level whether its id goes on, and
 the rank in it, which is the place on the next level, is found from a directory with the bits set before each
-512. The widths of the chunks are those that take the fewest bits for the ids at hand.
+512. The widths of the chunks are those that take the fewest bits for the ids of a segment.
 
 A file is a row of segments, each followed by a line feed:
 
@@ -33,33 +33,36 @@ _HEAD = struct.Struct("<4sQIIQQB")
 SEGMENT = 1 << 20
 #: Segments of a file.
 IN_FILE = 16
-#: Levels at most.
-LEVELS = 4
+#: Levels at most, and the widths in bits that are chosen from; other widths are read and written too, but not as fast.
+LEVELS, WIDTHS = 4, (4, 8, 16, 32)
 
 
 # --- one segment --------------------------------------------------------------------------
 
 
 def best_widths(ids: np.ndarray, most: int = LEVELS) -> list[int]:
-    """The chunk widths, of ``most`` levels at most, that take the fewest bits for the ids with their bitmaps."""
+    """The chunk widths out of ``WIDTHS``, of ``most`` levels at most, that take the fewest bits for the ids with their bitmaps."""
     top = max(1, int(ids.max(initial=0)).bit_length())
-    longer = np.array([len(ids), *(int((ids >> b > 0).sum()) for b in range(1, top))])  # ids with bits from b on
-    # cheapest[l][b]: bits that the ids' parts from bit b on take on l levels at most, and the width of the first of these
-    cheapest = [[(int(longer[b]) * (top - b), top - b) for b in range(top)]]
-    for _ in range(1, most):
-        last = cheapest[-1]
-        cheapest.append([min([last[b], *((int(longer[b]) * (w + 1) + last[b + w][0], w) for w in range(1, top - b))]) for b in range(top)])
-    widths, at = [], 0
-    for level in reversed(range(most)):
-        if at < top:
-            widths.append(cheapest[level][at][1])
-            at += widths[-1]
-    return widths
+    longer = [len(ids), *(int((ids >> b > 0).sum()) for b in range(1, top))]  # ids with bits from b on
+    # cheapest[b]: bits that the parts of the ids from bit b on take on so many levels at most, and the width of the first of these
+    cheapest: list[dict[int, tuple[int, list[int]]]] = [{}]
+    for _ in range(most):
+        last, now = cheapest[-1], {}
+        for b in range(top):
+            ways = [(longer[b] * w, [w]) for w in WIDTHS if b + w >= top]
+            ways += [(longer[b] * (w + 1) + last[b + w][0], [w, *last[b + w][1]]) for w in WIDTHS if b + w in last]
+            if ways:
+                now[b] = min(ways)
+        cheapest.append(now)
+    return cheapest[-1][0][1]
 
 
 def _packed(values: np.ndarray, width: int) -> bytes:
     if width in (8, 16, 32):
         return values.astype(f"<u{width // 8}").tobytes()
+    if width == 4:
+        even = np.append(values, 0).astype(np.uint8) if len(values) % 2 else values.astype(np.uint8)
+        return (even[::2] | even[1::2] << 4).tobytes()
     return b"".join(
         np.packbits((values[lo : lo + 65_536, None] >> np.arange(width, dtype=values.dtype)).astype(np.uint8) & 1, bitorder="little").tobytes()
         for lo in range(0, len(values), 65_536)
@@ -143,8 +146,7 @@ class Segment:
         for width, chunks, words, before in self.levels:
             if lo == hi:
                 break
-            got = _chunks(chunks, width, np.arange(lo, hi)) if width not in (8, 16, 32) else chunks.view(f"<u{width // 8}")[lo:hi].astype(np.uint32)
-            out[owner] |= got << np.uint32(shift)
+            out[owner] |= _stretch(chunks, width, lo, hi) << np.uint32(shift)
             shift += width
             if words is None:
                 break
@@ -158,6 +160,18 @@ class Segment:
         return self.range(int(self.ends[number - 1]) if number else 0, int(self.ends[number]))
 
 
+def _stretch(chunks: np.ndarray, width: int, lo: int, hi: int) -> np.ndarray:
+    """The packed values of the places from ``lo`` to ``hi``."""
+    if width in (8, 16, 32):
+        return chunks.view(f"<u{width // 8}")[lo:hi].astype(np.uint32)
+    if width == 4:
+        pairs = chunks[lo >> 1 : (hi + 1) >> 1]
+        out = np.empty(2 * len(pairs), np.uint32)
+        out[::2], out[1::2] = pairs & 15, pairs >> 4
+        return out[lo & 1 : (lo & 1) + hi - lo]
+    return _chunks(chunks, width, np.arange(lo, hi))
+
+
 def _chunks(chunks: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
     """The packed values of any places."""
     bit = at * width
