@@ -86,6 +86,24 @@ def knn_neighbours(spark, sf):
     return base.rounded(found.select("query_id", "id", "place", "distance2"), "distance2")
 
 
+PARTS = """parts AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS x, p_retailprice / 10 AS y, (p_size + p_retailprice) * 0.7 AS z FROM part),
+pairs AS (SELECT a.p_partkey AS query_id, b.p_partkey AS id,
+  round((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z), 9) AS distance2 FROM parts a, parts b)"""
+
+
+@query("knn_cells", f"""WITH {PARTS} SELECT query_id, id, CAST(place AS INTEGER) AS place, round(distance2, 6) AS distance2 FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance2, id) AS place FROM pairs) WHERE place <= 5""")
+def knn_cells(spark, sf):
+    """The five nearest parts of every part by size and price, over a tree of many leaves."""
+    size, price = F.col("p_size").cast("double"), F.col("p_retailprice")
+    parts = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.lit(0).alias("label"), F.array(size, price / 10, (size + price) * F.lit(0.7)).alias("vector")
+    )
+    leaves = max(1, parts.count() // 50)
+    found = neighbours.nearest(parts, parts.select(F.col("id").alias("query_id"), "vector"), leaves=leaves)
+    return base.rounded(found.select("query_id", "id", "place", "distance2"), "distance2")
+
+
 # --- learners on the scanned pages -------------------------------------------------------------
 
 

@@ -1,10 +1,10 @@
 """Exact k nearest neighbours without comparing every pair of rows.
 
-Training rows are grouped around pivots. For a query, the distances from each
-pivot to its closest training rows bound the k-th neighbour distance, and the
-triangle inequality leaves out every cell that lies beyond that bound. Queries
-meet only the remaining cells, through a cogroup on (cell, block, slice): large
-cells are cut into blocks of training rows and slices of queries, so no task
+Training rows are grouped by a pivot tree of two levels: each row belongs to its closest top pivot, and
+below that to its closest leaf pivot. A query is first compared with its home leaf alone, which gives a real
+k-th distance. With that bound the triangle inequality leaves out whole top cells, then leaves, and only
+what is left is compared. Queries meet leaves through a cogroup on (cell, block, slice): large
+leaves are cut into blocks of training rows and slices of queries, so no task
 holds more than a fixed number of either, and each group returns k rows per query.
 """
 
@@ -21,120 +21,179 @@ from linkrisk.functions.ordering import seeded_digest
 from linkrisk.schemas import SEED
 from linkrisk.session import cut_lineage
 
-# Most pivots, training rows per pivot that are aimed at, and the largest group of
-# training rows and of queries that one task compares.
-MAX_PIVOTS = 256
-ROWS_PER_PIVOT = 2000
+# Top pivots and leaf pivots below each at most, training rows aimed at in a leaf, and the largest group
+# of training rows and of queries that one task compares. The tree has 65,536 leaves at most.
+MAX_TOPS = 256
+MAX_LEAVES = 256
+ROWS_PER_LEAF = 2000
 GROUP_ROWS = 20000
 SLICE_ROWS = 500
 _TOLERANCE = 1e-9
-_CHUNK = 512
+_CELLS = 2_000_000
 
 
-def _distances():
-    """Helpers of the task functions. Built here so that they travel with them to the workers."""
+class Tree:
+    """Pivots of both levels and what the cells hold; a few numbers for each leaf, never rows."""
 
-    def matrix(column: pd.Series) -> np.ndarray:
-        return np.stack(column.to_numpy()).astype(np.float64)
+    def __init__(self, tops: np.ndarray, leaves: np.ndarray, owner: np.ndarray) -> None:
+        self.tops, self.leaves, self.owner = tops, leaves, owner
+        self.rows = np.zeros(len(leaves), np.int64)
+        self.inner, self.outer = np.zeros(len(leaves)), np.zeros(len(leaves))  # of the distances of rows to their leaf pivot
+        self.top_radius = np.zeros(len(tops))  # greatest distance of a row to its top pivot
 
-    def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        gaps = a[:, None, :] - b[None, :, :]
-        return np.einsum("ijk,ijk->ij", gaps, gaps)
+    def home(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Leaf, distance to its pivot and distance to the top pivot of every vector."""
+        to_top = _away(vectors, self.tops)
+        top = to_top.argmin(axis=1)
+        leaf, away = np.empty(len(vectors), np.int64), np.empty(len(vectors))
+        for t in np.unique(top).tolist():
+            at, below = np.flatnonzero(top == t), np.flatnonzero(self.owner == t)
+            gaps = _away(vectors[at], self.leaves[below])
+            leaf[at] = below[gaps.argmin(axis=1)]
+            away[at] = gaps.min(axis=1)
+        return leaf, away, to_top[np.arange(len(vectors)), top]
 
-    def away(vectors: np.ndarray, centres: np.ndarray, chunk: int) -> np.ndarray:
-        parts = [squared(vectors[i : i + chunk], centres) for i in range(0, len(vectors), chunk)]
-        return np.sqrt(np.concatenate(parts))
+    def within(self, vectors: np.ndarray, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, leaf) pairs whose leaf can hold a row within the reach of the query."""
+        step = max(1, _CELLS // len(self.leaves))
+        for lo in range(0, len(vectors), step):
+            part, far = vectors[lo : lo + step], reach[lo : lo + step, None]
+            near = _away(part, self.tops) - self.top_radius[None, :] <= far
+            query, leaf = [], []
+            for t in np.flatnonzero(near.any(axis=0)).tolist():
+                at, below = np.flatnonzero(near[:, t]), np.flatnonzero((self.owner == t) & (self.rows > 0))
+                gaps = _away(part[at], self.leaves[below])
+                # rows lie in a ring around the pivot
+                q, c = np.nonzero((gaps - self.outer[below] <= far[at]) & (self.inner[below] - gaps <= far[at]))
+                query.append(at[q] + lo)
+                leaf.append(below[c])
+            if query:
+                yield np.concatenate(query), np.concatenate(leaf)
 
-    return matrix, squared, away
+    def sure(self, vectors: np.ndarray, k: int) -> np.ndarray:
+        """A distance within which every vector has k rows for certain (or all rows, where there are fewer)."""
+        out = np.empty(len(vectors))
+        step = max(1, _CELLS // len(self.leaves))
+        wanted = min(k, int(self.rows.sum()))
+        for lo in range(0, len(vectors), step):
+            ends = _away(vectors[lo : lo + step], self.leaves) + self.outer[None, :]
+            by = np.argsort(ends, axis=1)
+            enough = (np.cumsum(self.rows[by], axis=1) >= wanted).argmax(axis=1)
+            out[lo : lo + step] = np.take_along_axis(ends, by, axis=1)[np.arange(len(by)), enough]
+        return out
 
 
-def nearest(
-    train: DataFrame,
-    queries: DataFrame,
-    k: int = 5,
-    pivots: int | None = None,
-    group_rows: int = GROUP_ROWS,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """(query_id, id, label, distance2, place): the k nearest training rows of every query.
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(np.float64)
 
-    ``train`` has (id, label, vector), ``queries`` (query_id, vector). Ties in the
-    squared distance, rounded to 9 digits, go to the lower id.
+
+def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    gaps = a[:, None, :] - b[None, :, :]
+    return np.einsum("ijk,ijk->ij", gaps, gaps)
+
+
+def _away(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    step = max(1, _CELLS // max(1, centres.size))
+    parts = [_squared(vectors[i : i + step], centres) for i in range(0, len(vectors), step)]
+    return np.sqrt(np.concatenate(parts)) if parts else np.empty((0, len(centres)))
+
+
+def plant(train: DataFrame, leaves: int | None = None) -> tuple[Tree, DataFrame]:
+    """The tree over ``train`` (id, label, vector), and its rows with their ``cell`` and ``away``, the distance to its pivot.
+
+    ``leaves`` is the number aimed at; by default one for ``ROWS_PER_LEAF`` rows, up to the greatest tree.
     """
-    if pivots is None:
-        pivots = max(1, min(MAX_PIVOTS, train.count() // ROWS_PER_PIVOT))
-    # Training rows that serve as pivots; their number is bounded.
-    chosen = train.select("vector").orderBy(seeded_digest("id", SEED)).limit(pivots).collect()
+    if leaves is None:
+        leaves = train.count() // ROWS_PER_LEAF
+    leaves = max(1, min(leaves, MAX_TOPS * MAX_LEAVES))
+    tops = min(MAX_TOPS, max(1, math.isqrt(leaves)))
+    # Rows that serve as pivots in a seeded order; their number is bounded.
+    chosen = train.select("vector").orderBy(seeded_digest("id", SEED)).limit(tops + leaves).collect()
     if not chosen:
         raise ValueError("no training rows")
-    centres = np.array([row.vector for row in chosen], dtype=np.float64)
-    matrix, squared, distances = _distances()
-    chunk, tolerance = _CHUNK, _TOLERANCE
+    vectors = np.array([row.vector for row in chosen], dtype=np.float64)
+    top = vectors[:tops]
+    below = vectors[tops:] if len(vectors) > tops else top
+    owner = _away(below, top).argmin(axis=1)
+    alone = np.setdiff1d(np.arange(len(top)), owner)  # a top cell without a leaf pivot is a leaf of its own
+    tree = Tree(top, np.concatenate((below, top[alone])), np.concatenate((owner, alone)))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
-                away = distances(matrix(rows["vector"]), centres, chunk)
-                cell = away.argmin(axis=1)
-                yield rows.assign(cell=cell.astype("int32"), away=away[np.arange(len(rows)), cell])
-
-    celled = cut_lineage(train.mapInPandas(assign, "id bigint, label int, vector array<double>, cell int, away double"))
-
-    closest = Window.partitionBy("cell").orderBy("away")
-    inner = celled.select("cell", "away").withColumn("_rn", F.row_number().over(closest)).where(F.col("_rn") <= k)
-    reach = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius"))
-    # One row per pivot, k distances each.
-    cells = (
-        reach.join(inner.groupBy("cell").agg(F.array_sort(F.collect_list("away")).alias("inner")), "cell")
-        .orderBy("cell")
-        .collect()
-    )
-    cell_ids = np.array([c.cell for c in cells])
-    radius = np.array([c.radius for c in cells])
-    blocks = np.array([math.ceil(c.n / group_rows) for c in cells])
-    inner_away = np.concatenate([np.array(c.inner) for c in cells])
-    inner_cell = np.concatenate([np.full(len(c.inner), i) for i, c in enumerate(cells)])
-    wanted = min(k, len(inner_away))
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                cell, away, to_top = tree.home(_matrix(rows["vector"]))
+                yield rows.assign(cell=cell.astype("int32"), away=away, to_top=to_top)
+
+    celled = cut_lineage(train.mapInPandas(assign, "id bigint, label int, vector array<double>, cell int, away double, to_top double"))
+    found = celled.groupBy("cell").agg(F.count("*").alias("n"), F.min("away").alias("inner"), F.max("away").alias("outer"), F.max("to_top").alias("reach"))
+    for row in found.collect():  # one row per leaf
+        tree.rows[row.cell], tree.inner[row.cell], tree.outer[row.cell] = row.n, row.inner, row.outer
+        tree.top_radius[tree.owner[row.cell]] = max(tree.top_radius[tree.owner[row.cell]], row.reach)
+    return tree, celled.drop("to_top")
+
+
+_VISIT = "query_id bigint, vector array<double>, cell int"
+
+
+def home_visits(tree: Tree, queries: DataFrame) -> DataFrame:
+    """Each query with its home leaf; an empty home leaf is left to the second visit."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            for start in range(0, len(rows), chunk):
-                part = rows.iloc[start : start + chunk]
-                to_cell = distances(matrix(part["vector"]), centres[cell_ids], chunk)
-                upper = np.partition(to_cell[:, inner_cell] + inner_away[None, :], wanted - 1, axis=1)[:, wanted - 1]
-                slack = tolerance * (1.0 + upper)
-                query, cell = np.nonzero(to_cell - radius[None, :] <= (upper + slack)[:, None])
-                yield pd.DataFrame(
-                    {
-                        "query_id": part["query_id"].to_numpy()[query],
-                        "vector": [part["vector"].iat[q] for q in query],
-                        "cell": cell_ids[cell].astype("int32"),
-                        "blocks": blocks[cell].astype("int32"),
-                    }
-                )
+            if len(rows):
+                cell = tree.home(_matrix(rows["vector"]))[0]
+                yield rows[["query_id", "vector"]].assign(cell=cell.astype("int32"))[tree.rows[cell] > 0]
+
+    return queries.select("query_id", "vector").mapInPandas(run, _VISIT)
+
+
+def other_visits(tree: Tree, queries: DataFrame, k: int) -> DataFrame:
+    """Each query (query_id, vector, kth) with all leaves that can hold a row closer than ``kth``, but for its home leaf.
+
+    ``kth`` is the square of the k-th distance found so far, null where there were fewer than k rows.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if not len(rows):
+                continue
+            vectors, kth = _matrix(rows["vector"]), rows["kth"].to_numpy(np.float64)
+            reach = np.sqrt(np.nan_to_num(kth) + _TOLERANCE)  # squares are rounded to that
+            open_ = np.isnan(kth)
+            if open_.any():
+                reach[open_] = tree.sure(vectors[open_], k)
+            reach += _TOLERANCE * (1 + reach)
+            home = tree.home(vectors)[0]
+            for query, cell in tree.within(vectors, reach):
+                other = cell != home[query]
+                query, cell = query[other], cell[other]
+                for lo in range(0, len(query), 10_000):
+                    part = rows.iloc[query[lo : lo + 10_000]]
+                    yield part[["query_id", "vector"]].assign(cell=cell[lo : lo + 10_000].astype("int32"))
 
-    visits = queries.mapInPandas(visit, "query_id bigint, vector array<double>, cell int, blocks int")
-    # Slices per cell: again one row per pivot.
-    load = visits.groupBy("cell").agg(F.count("*").alias("n")).collect()
-    slices = {row.cell: math.ceil(row.n / slice_rows) for row in load}
-    slice_map = F.create_map(*[F.lit(v) for pair in slices.items() for v in pair]) if slices else F.lit(None).cast("map<int,int>")
-    block_map = F.create_map(*[F.lit(int(v)) for c, b in zip(cell_ids, blocks) for v in (c, b)])
-    n_slices = F.coalesce(F.element_at(slice_map, F.col("cell")), F.lit(0))
+    return queries.select("query_id", "vector", "kth").mapInPandas(run, _VISIT)
 
-    left = visits.select(
+
+def _compare(tree: Tree, celled: DataFrame, visits: DataFrame, k: int, group_rows: int, slice_rows: int) -> DataFrame:
+    """(query_id, id, label, distance2): the k nearest rows of each leaf for the queries that visit it."""
+    # Slices per leaf: one row per leaf, like the blocks; what reaches the driver is bounded by the tree.
+    load = {row.cell: math.ceil(row.n / slice_rows) for row in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    sizes = [(int(cell), n, max(1, math.ceil(int(tree.rows[cell]) / group_rows))) for cell, n in load.items()]
+    plan = F.broadcast(visits.sparkSession.createDataFrame(sizes, "cell int, slices int, blocks int"))
+    left = visits.join(plan, "cell").select(
         "query_id",
         "vector",
         "cell",
-        F.pmod(F.xxhash64("query_id"), n_slices).cast("int").alias("slice"),
+        F.pmod(F.xxhash64("query_id"), "slices").cast("int").alias("slice"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
     )
-    right = celled.where(n_slices > 0).select(
+    right = celled.join(plan, "cell").select(
         "id",
         "label",
         "vector",
         "cell",
-        F.pmod(F.xxhash64("id"), F.element_at(block_map, F.col("cell"))).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), n_slices - 1)).alias("slice"),
+        F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
     )
 
     def best_of_group(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
@@ -142,12 +201,12 @@ def nearest(
         if not len(asked) or not len(known):
             return pd.DataFrame({c: [] for c in columns})
         known = known.sort_values("id", kind="stable")
-        base, ids, labels = matrix(known["vector"]), known["id"].to_numpy(), known["label"].to_numpy()
-        step = max(1, 4_000_000 // (base.shape[0] * base.shape[1]))
+        base, ids, labels = _matrix(known["vector"]), known["id"].to_numpy(), known["label"].to_numpy()
+        step = max(1, 4_000_000 // max(1, base.size))
         found = []
-        vectors, query_ids = matrix(asked["vector"]), asked["query_id"].to_numpy()
+        vectors, query_ids = _matrix(asked["vector"]), asked["query_id"].to_numpy()
         for start in range(0, len(asked), step):
-            away = np.round(squared(vectors[start : start + step], base), 9)
+            away = np.round(_squared(vectors[start : start + step], base), 9)
             order = np.argsort(away, axis=1, kind="stable")[:, :k]
             taken = np.take_along_axis(away, order, axis=1)
             found.append(
@@ -162,24 +221,45 @@ def nearest(
             )
         return pd.concat(found)
 
-    partial = (
-        left.groupBy("cell", "block", "slice")
-        .cogroup(right.groupBy("cell", "block", "slice"))
-        .applyInPandas(best_of_group, "query_id bigint, id bigint, label int, distance2 double")
-    )
+    groups = ["cell", "block", "slice"]
+    return left.groupBy(*groups).cogroup(right.groupBy(*groups)).applyInPandas(best_of_group, "query_id bigint, id bigint, label int, distance2 double")
+
+
+def nearest(
+    train: DataFrame,
+    queries: DataFrame,
+    k: int = 5,
+    leaves: int | None = None,
+    group_rows: int = GROUP_ROWS,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """(query_id, id, label, distance2, place): the k nearest training rows of every query.
+
+    ``train`` has (id, label, vector), ``queries`` (query_id, vector) with a query_id of its own for each. Ties in the
+    squared distance, rounded to 9 digits, go to the lower id.
+    """
+    tree, celled = plant(train, leaves)
     best = Window.partitionBy("query_id").orderBy("distance2", "id")
-    return partial.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+    first = _compare(tree, celled, home_visits(tree, queries), k, group_rows, slice_rows)
+    first = first.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+    if np.count_nonzero(tree.rows) == 1:
+        return first
+    first = cut_lineage(first)
+    bounds = first.groupBy("query_id").agg(F.max(F.when(F.col("place") == k, F.col("distance2"))).alias("kth"))
+    others = cut_lineage(other_visits(tree, queries.join(bounds, "query_id", "left"), k))
+    second = _compare(tree, celled, others, k, group_rows, slice_rows)
+    return first.drop("place").unionByName(second).withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
 
 
 def knn_classify(
-    train: DataFrame, queries: DataFrame, k: int = 5, weights: str = "uniform", pivots: int | None = None
+    train: DataFrame, queries: DataFrame, k: int = 5, weights: str = "uniform", leaves: int | None = None
 ) -> DataFrame:
     """(query_id, prediction, score): the class with most votes and its share.
 
     ``weights='distance'`` counts votes by inverse distance; an exact hit decides
     alone. A tie goes to the lower class.
     """
-    found = nearest(train, queries, k, pivots)
+    found = nearest(train, queries, k, leaves)
     vote = F.lit(1.0)
     if weights == "distance":
         hit = F.min("distance2").over(Window.partitionBy("query_id")) == 0

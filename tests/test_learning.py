@@ -51,8 +51,8 @@ def brute_force(train, queries, k):
     return found
 
 
-@pytest.mark.parametrize("pivots, group_rows", [(None, 1000), (8, 1000), (8, 7), (500, 3)])
-def test_neighbours_equal_brute_force(spark, pivots, group_rows):
+@pytest.mark.parametrize("leaves, group_rows", [(None, 1000), (8, 1000), (8, 7), (500, 3)])
+def test_neighbours_equal_brute_force(spark, leaves, group_rows):
     rng = np.random.default_rng(3)
     train = [(i, int(i % 2), [float(x) for x in rng.integers(0, 6, 2)]) for i in range(120)]
     train += [(i, 1, [2.0, 2.0]) for i in range(120, 180)]  # a third of the rows are copies
@@ -60,11 +60,32 @@ def test_neighbours_equal_brute_force(spark, pivots, group_rows):
     known = spark.createDataFrame(train, "id BIGINT, label INT, vector ARRAY<DOUBLE>")
     asked = spark.createDataFrame(queries, "query_id BIGINT, vector ARRAY<DOUBLE>")
     got: dict = {}
-    for r in neighbours.nearest(known, asked, 5, pivots, group_rows, group_rows).orderBy("query_id", "place").collect():
+    for r in neighbours.nearest(known, asked, 5, leaves, group_rows, group_rows).orderBy("query_id", "place").collect():
         got.setdefault(r.query_id, []).append((r.distance2, r.id))
     assert got == brute_force(train, queries, 5)
 
 
+def test_the_pivot_tree_leaves_out_most_pairs(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.uniform(0, 100, (60, 3))
+    points = centres[rng.integers(0, 60, 6_000)] + rng.normal(0, 0.5, (6_000, 3))
+    train = [(i, i % 2, v) for i, v in enumerate(points.tolist())]
+    asked = [(i, v) for i, v in enumerate((points[::20] + rng.normal(0, 0.1, (300, 3))).tolist())] + [(900, [500.0] * 3)]
+    known = spark.createDataFrame(train, "id BIGINT, label INT, vector ARRAY<DOUBLE>")
+    queries = spark.createDataFrame(asked, "query_id BIGINT, vector ARRAY<DOUBLE>")
+    tree, celled = neighbours.plant(known, 120)
+    assert len(tree.tops) == 10 and np.count_nonzero(tree.rows) > 80 and tree.rows.sum() == 6_000
+    found = neighbours.nearest(known, queries, 5, 120)
+    got: dict = {}
+    for r in found.orderBy("query_id", "place").collect():
+        got.setdefault(r.query_id, []).append((r.distance2, r.id))
+    assert got == brute_force(train, asked, 5)
+    kth = found.where("place = 5").selectExpr("query_id", "distance2 as kth")
+    visits = neighbours.home_visits(tree, queries).union(neighbours.other_visits(tree, queries.join(kth, "query_id"), 5))
+    pairs = sum(int(tree.rows[r.cell]) for r in visits.collect())
+    assert pairs < 0.1 * len(train) * len(asked)
+
+
 def test_fewer_training_rows_than_k(spark):
     known = spark.createDataFrame([(1, 0, [0.0]), (2, 1, [1.0])], "id BIGINT, label INT, vector ARRAY<DOUBLE>")
     asked = spark.createDataFrame([(7, [0.2])], "query_id BIGINT, vector ARRAY<DOUBLE>")
