@@ -9,6 +9,7 @@ from linkrisk.catalog.base import query, table
 from linkrisk.functions import outcomes
 from linkrisk.operators import ledger
 from linkrisk.session import scratch_path
+from linkrisk.sources import tables
 from linkrisk.streaming import incremental
 
 # Every event is a submission. 'error' events fail at once, purchases divisible by 5 are never answered,
@@ -172,10 +173,12 @@ WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' A
 def dedupe_attempted(spark, sf):
     url = F.concat(F.lit("https://u"), F.col("user_id").cast("string"), F.lit(".example/")).alias("url")
     bought = (F.col("event_type") == "purchase") & (F.col("value") > 100)
-    done = table(spark, sf, "events").where(bought).select(url)
+    root = scratch_path(spark, "tables")
+    tables.write_batch(ledger.ledger_rows(table(spark, sf, "events").where(bought).select(url, F.lit(outcomes.STATUS_SUCCESS).alias("status"))), root, "attempted_scans", 1)
+    done = tables.stream_log(spark, root, "attempted_scans", "url STRING")
     stream = event_stream(spark, sf).select(url, F.col("ts").cast("timestamp").alias("ts"))
     out = scratch_path(spark, "fresh")
-    incremental.new_attempts(stream, lambda: done, "ts", "60 days", out, scratch_path(spark, "fresh-state")).awaitTermination()
+    incremental.new_attempts(stream, done, "ts", "60 days", out, scratch_path(spark, "fresh-state")).awaitTermination()
     return spark.read.schema("url STRING").parquet(out).select("url")
 
 

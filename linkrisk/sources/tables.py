@@ -74,6 +74,17 @@ def write_batch(df: DataFrame, root: str, name: str, batch: int, version: int =
     df.write.mode("overwrite").parquet(f"{table_path(root, name, version)}/batch={batch}")
 
 
+def stream_log(spark: SparkSession, root: str, name: str, schema: str, version: int = 1) -> DataFrame:
+    """The rows of a log table as a stream, batch by batch as they are written; a batch written again comes again.
+
+    A table that does not exist yet is an empty folder until its first batch.
+    """
+    path = table_path(root, name, version)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(path)
+
+
 def merge_rows(
     existing: DataFrame | None, incoming: DataFrame, key: Sequence[str], event_time: str | None = None
 ) -> DataFrame:

@@ -41,6 +41,50 @@ def test_stream_continues_behind_its_checkpoint(spark, root):
     assert log.count() == 25 and log.select("url").distinct().count() == 25  # unlabeled scans count as attempted
 
 
+def test_a_batch_does_not_read_the_history(spark, root):
+    landed, state = scratch_path(spark, "landed"), scratch_path(spark, "state")
+    tables.write_batch(spark.createDataFrame([("u1", "success")], "url STRING, status STRING"), root, incremental.LEDGER_TABLE, 1_000)
+    marks = []
+    for i in range(4):
+        documents(spark, range(10 * i, 10 * i + 12)).coalesce(1).write.mode("append").parquet(landed)
+        run = incremental.incremental_scan(spark, landed, source(spark, 60), root, state, 1)
+        run.awaitTermination()
+        read = [0, 0, 0]
+        for progress in run.recentProgress:
+            for k, part in enumerate(progress["sources"]):
+                read[k] += part["numInputRows"]
+        marks.append(read)
+    assert [r[0] for r in marks] == [12] * 4
+    assert [r[1] for r in marks] == [0, 11, 10, 10] and [r[2] for r in marks] == [1, 11, 10, 10]  # what the run before has written
+    urls = [r.url for r in incremental.read_features(spark, root).collect()]
+    assert sorted(urls) == sorted(f"u{i}" for i in range(42) if i != 1)
+
+
+def test_of_copies_in_a_batch_the_least_scan_counts(spark, root):
+    landed, state = scratch_path(spark, "landed"), scratch_path(spark, "state")
+    rows = [json.dumps({"original_url": "u", "task": {"url": "u", "uuid": f"s{i}"}, "page": {"domain": "a.b"}}) for i in (7, 3, 5)]
+    broken = ["no document", "{}", None]
+    spark.createDataFrame([(r,) for r in rows + rows + broken], "document STRING").coalesce(1).write.parquet(landed)
+    incremental.incremental_scan(spark, landed, spark.createDataFrame([("u", 1)], "url STRING, is_phishing INT"), root, state).awaitTermination()
+    assert [r.scan_uuid for r in incremental.read_features(spark, root).collect()] == ["s3"]
+
+
+def test_new_attempts_against_a_stream_of_the_ledger(spark, root):
+    landed, out, state = (scratch_path(spark, name) for name in ("landed", "out", "state"))
+    when = F.lit("2024-01-01").cast("timestamp")
+
+    def run(attempted, urls, batch):
+        tables.write_batch(spark.createDataFrame([(u,) for u in attempted], "url STRING"), root, "log", batch)
+        rows = spark.createDataFrame([(u,) for u in urls], "url STRING").withColumn("ts", when)
+        rows.write.mode("append").parquet(landed)
+        stream, log = spark.readStream.schema(rows.schema).parquet(landed), tables.stream_log(spark, root, "log", "url STRING")
+        incremental.new_attempts(stream, log, "ts", "1 day", out, state).awaitTermination()
+        return sorted(r.url for r in spark.read.schema("url STRING").parquet(out).collect())
+
+    assert run(["a"], ["a", "b", "b", None], 1) == ["b"]
+    assert run(["c"], ["c", "d", "b"], 2) == ["b", "d"]
+
+
 def test_repeated_batch_changes_nothing(spark, root):
     for _ in range(2):
         incremental.process_scans(documents(spark, range(4)), 0, source(spark), root)
