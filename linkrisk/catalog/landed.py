@@ -92,15 +92,14 @@ def read_table(spark, sf):
     return tables.read_table(spark, root, "labelled_pages", 2)
 
 
-@query("upsert_table", """SELECT user_id, value, event_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events
-  WHERE event_type IN ('view', 'click')) WHERE rn = 1""")
+@query("upsert_table", """SELECT user_id, value, event_id, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def upsert_table(spark, sf):
+    """The last event of every user, merged from one delivery for each type of event."""
     root = scratch_path(spark, "tables")
     events = table(spark, sf, "events").select("user_id", "value", "event_id", "event_type")
-    for kind in ("view", "click"):
-        part = events.where(F.col("event_type") == kind).drop("event_type")
-        stored = tables.upsert_table(part, root, "last_event", "user_id", event_time="event_id")
+    for kind in ("view", "click", "purchase", "signup", "error"):
+        stored = tables.upsert_table(events.where(F.col("event_type") == kind), root, "last_event", "user_id", event_time="event_id")
     return stored
 
 

@@ -3,7 +3,9 @@
 A table is ``<root>/<name>_v<version>`` with one ``snapshot=<n>`` folder per
 rewrite; readers take the newest finished snapshot. Appended logs use the same
 layout with one ``batch=<n>`` folder per batch, so that a repeated batch replaces
-itself instead of adding rows twice.
+itself instead of adding rows twice. Tables that rows are merged into are partitioned
+by a hash of their key, ``keyed=<parts>/snapshot=<n>/key_part=<p>``: a merge writes a snapshot of the partitions it
+meets, and readers take the newest finished one of each partition.
 """
 
 from __future__ import annotations
@@ -13,14 +15,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkrisk.operators.dedupe import latest_by_key
+from linkrisk.session import write_scratch
+
+KEY_PARTS = 16
+_PART = "key_part"
 
 
 def table_path(root: str, name: str, version: int = 1) -> str:
     return f"{root.rstrip('/')}/{name}_v{version}"
 
 
-def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the finished ``<prefix>=<n>`` folders of a table."""
+def _numbers(spark: SparkSession, path: str, prefix: str, finished: bool) -> list[int]:
+    """Numbers of the ``<prefix>=<n>`` folders below a path, or of those that a write has finished."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -29,12 +35,16 @@ def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
     found = []
     for status in fs.listStatus(folder):
         name = status.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith(f"{prefix}=") and fs.exists(done):
+        if name.startswith(f"{prefix}=") and (not finished or fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))):
             found.append(int(name.split("=", 1)[1]))
     return sorted(found)
 
 
+def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the finished ``<prefix>=<n>`` folders of a table."""
+    return _numbers(spark, path, prefix, finished=True)
+
+
 def finished_batches(spark: SparkSession, root: str, name: str, version: int = 1) -> list[int]:
     """Numbers of the batches that a log table holds."""
     return _children(spark, table_path(root, name, version), "batch")
@@ -43,6 +53,9 @@ def finished_batches(spark: SparkSession, root: str, name: str, version: int = 1
 def get_table(spark: SparkSession, root: str, name: str, version: int = 1) -> DataFrame | None:
     """The table, or None when it does not exist."""
     path = table_path(root, name, version)
+    keyed = _keyed(spark, path)
+    if keyed is not None and keyed[1]:
+        return _read_parts(spark, list(keyed[1].values()))
     snapshots = _children(spark, path, "snapshot")
     if snapshots:
         return spark.read.parquet(f"{path}/snapshot={snapshots[-1]}")
@@ -95,13 +108,54 @@ def merge_rows(
     return latest_by_key(both, key, order).drop("_source")
 
 
+def _keyed(spark: SparkSession, path: str) -> tuple[int, dict[int, str], int] | None:
+    """How many partitions a keyed table has, the newest finished folder of each, and the number of the next snapshot."""
+    parts = _numbers(spark, path, "keyed", finished=False)
+    if not parts:
+        return None
+    base, newest = f"{path}/keyed={parts[0]}", {}
+    snapshots = _children(spark, base, "snapshot")
+    for n in snapshots:
+        newest |= {p: f"{base}/snapshot={n}/{_PART}={p}" for p in _numbers(spark, f"{base}/snapshot={n}", _PART, finished=False)}
+    return parts[0], newest, snapshots[-1] + 1 if snapshots else 0
+
+
+def _read_parts(spark: SparkSession, folders: list[str]) -> DataFrame:
+    several = len({f.rsplit("/", 1)[0] for f in folders}) > 1  # a later snapshot may have more columns
+    return spark.read.option("mergeSchema", several).parquet(*folders)
+
+
 def upsert_table(
-    df: DataFrame, root: str, name: str, key: Sequence[str] | str, version: int = 1, event_time: str | None = None
+    df: DataFrame, root: str, name: str, key: Sequence[str] | str, version: int = 1, event_time: str | None = None, parts: int = KEY_PARTS
 ) -> DataFrame:
-    """Create the table or merge rows into it by key, and return the new state."""
+    """Create the table or merge rows into it by key, and return the new state.
+
+    The table has ``parts`` partitions by a hash of the key, a number that stays as it was when the table was made. Only
+    partitions with keys of the incoming rows are read, merged and written anew; the files of all others stay. The
+    merge counts once it is finished as a whole, and tables that were read before stay readable. Merge
+    from one writer at a time. A table written as snapshots before is taken over by its first merge.
+    """
+    spark = df.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
-    existing = get_table(df.sparkSession, root, name, version)
-    return write_snapshot(merge_rows(existing, df, keys, event_time), root, name, version)
+    path = table_path(root, name, version)
+    parts, newest, number = _keyed(spark, path) or (parts, {}, 0)
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+    incoming = merge_rows(None, df, keys, event_time)
+    if newest:
+        incoming = write_scratch(incoming, f"upsert-{name}")
+        met = [r[0] for r in incoming.select(part).distinct().collect()]  # parts at most
+        folders = [newest[p] for p in met if p in newest]
+        existing = _read_parts(spark, folders) if folders else None
+    else:
+        existing = get_table(spark, root, name, version)
+    merged = incoming if existing is None else merge_rows(existing, incoming, keys, event_time)
+    # a large partition is written by several tasks
+    rows = merged.withColumn(_PART, part).hint("rebalance", _PART)
+    target = f"{path}/keyed={parts}/snapshot={number}"
+    rows.write.mode("overwrite").partitionBy(_PART).parquet(target)
+    state = get_table(spark, root, name, version)
+    # a partitioned table without rows would have no columns
+    return write_snapshot(merged, root, name, version) if state is None else state
 
 
 def feature_view(df: DataFrame, name: str, columns: Sequence[str], labels: Sequence[str]) -> DataFrame:

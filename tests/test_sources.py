@@ -153,3 +153,42 @@ def test_missing_features_become_zero(spark):
     rows = spark.createDataFrame([(1, 2.0)], "has_tls INT, url_length DOUBLE")
     full = features.select_features(features.add_missing_features(rows)).first()
     assert len(full) == 8 and full.has_tls == 1.0 and full.url_length == 2.0 and full.umbrella_rank == 0.0
+
+
+def test_upsert_replaces_the_partitions_it_meets(spark, root):
+    import glob
+    import os
+
+    def files():
+        return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tables.table_path(root, 't')}/**/*.parquet", recursive=True)}
+
+    first = spark.createDataFrame([(i, f"v{i}") for i in range(500)] + [(None, "none")], "k BIGINT, v STRING")
+    tables.upsert_table(first, root, "t", "k", parts=16)
+    before = files()
+    change = spark.createDataFrame([(3, "new", 1), (1_000, "added", 2), (None, "null", 3)], "k BIGINT, v STRING, more INT")
+    stored = tables.upsert_table(change, root, "t", "k")
+    met = {r[0] for r in change.selectExpr("pmod(xxhash64(k), 16)").collect()}
+    after = files()
+    part = lambda f: int(f.split("key_part=")[1].split("/")[0])
+    assert all(after[f] == t for f, t in before.items()) and {part(f) for f in before} == set(range(16))
+    assert {part(f) for f in after if f not in before} == met and len(met) <= 3
+    read = [part(f) for f in stored.inputFiles() if "snapshot=0" in f]
+    assert sorted(set(read)) == sorted(set(range(16)) - met)
+    rows = {r.k: (r.v, r.more) for r in stored.collect()}
+    assert len(rows) == 502 and stored.columns == ["k", "v", "more"]
+    assert rows[3] == ("new", 1) and rows[1_000] == ("added", 2) and rows[None] == ("null", 3) and rows[4] == ("v4", None)
+    again = tables.upsert_table(change, root, "t", "k")
+    assert sorted(map(str, again.collect())) == sorted(map(str, stored.collect()))
+
+
+def test_upsert_takes_over_a_snapshot(spark, root):
+    tables.write_snapshot(spark.createDataFrame([(1, "a"), (2, "b")], "k INT, v STRING"), root, "t")
+    tables.upsert_table(spark.createDataFrame([(2, "c")], "k INT, v STRING"), root, "t", "k")
+    assert sorted(map(tuple, tables.read_table(spark, root, "t").collect())) == [(1, "a"), (2, "c")]
+
+
+def test_upsert_of_no_rows(spark, root):
+    none = spark.createDataFrame([], "k INT, v STRING")
+    assert tables.upsert_table(none, root, "t", "k").columns == ["k", "v"]
+    tables.upsert_table(spark.createDataFrame([(2, "c")], "k INT, v STRING"), root, "t", "k")
+    assert tables.upsert_table(none, root, "t", "k").collect() == [(2, "c")]
