@@ -38,6 +38,12 @@ def with_fields(kept: DataFrame, more: str):
     return StructType([*kept.schema.fields, *StructType.fromDDL(more).fields])
 
 
+def own_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    return ["_" * next(n for n in range(len(taken) + 1) if "_" * n + name.lower() not in taken) + name for name in names]
+
+
 def modest_batches(df: DataFrame) -> DataFrame:
     """``df``, with Spark's 10,000 rows of an Arrow batch lowered to ``BATCH_ROWS`` in its session if nobody has set them.
 

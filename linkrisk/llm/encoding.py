@@ -19,9 +19,9 @@ import pyarrow.compute as pc
 from linkrisk.llm.common import remembered
 
 #: Bytes that each of the two generations of remembered pieces may take in a worker, and what an entry takes besides its strings.
-REMEMBERED, ENTRY = 48_000_000, 150
+REMEMBERED, ENTRY = 40_000_000, 150
 #: Bytes of text whose pieces are looked at together.
-TOGETHER = 8_000_000
+TOGETHER = 4_000_000
 _CUT = "\x01"
 #: The only two ways of making tokens from text whose tokens ``parts`` knows beforehand.
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}

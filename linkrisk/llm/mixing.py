@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from linkrisk.llm.common import digest60, word_count
+from linkrisk.llm.common import digest60, own_names, word_count
 from linkrisk.session import write_scratch
 
 HASH_BITS, STEP_BITS = 60, 12
@@ -122,9 +122,9 @@ def copies(docs: DataFrame, text: str = "text", source: str = "source", key: str
     """Every document with how often the mix takes it: ``key, size, source_size, target, copies, taken``.
 
     Size counts words; a null text has size 0. Null sources are one source. The hash
-    comes from the key alone, so reruns agree and rows with equal keys stand or fall
+    comes from key and text, so reruns agree and only fully equal rows stand or fall
     together. A document is taken ``most`` times at most. The budget of a source is met
-    to within half of the one group of equal keys at its edge. A source without any
+    to within half of the one document, or group of fully equal rows, at its edge. A source without any
     words keeps each of its documents once. Other columns are not read; an empty table
     gives an empty result.
     """
@@ -133,7 +133,7 @@ def copies(docs: DataFrame, text: str = "text", source: str = "source", key: str
             F.col(key).alias("key"),
             F.col(source).cast("string").alias("source"),
             word_count(F.col(text)).alias("size"),
-            digest60(F.col(key)).alias("hash"),
+            digest60(F.col(key), F.col(text)).alias("hash"),
         ),
         "mix-sizes",
     )
@@ -146,14 +146,14 @@ def copies(docs: DataFrame, text: str = "text", source: str = "source", key: str
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", most: int = 3, weights=(1, 2, 3)) -> DataFrame:
     """The mixed documents, all columns as they were, each row as often as the mix takes it."""
-    sized = docs.select(
-        F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), digest60(F.col(key)).alias("hash")
-    )
+    hashed = digest60(F.col(key), F.col(text))
+    sized = docs.select(F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), hashed.alias("hash"))
     cuts = thresholds(write_scratch(sized, "mix-sizes"), weights, most)
-    cuts = cuts.select(F.col("source").alias("_s"), F.col("whole").alias("_whole"), F.col("cut").alias("_cut"))
-    times = F.least(F.col("_whole") + (digest60(F.col(key)) < F.col("_cut")).cast("long"), F.lit(most).cast("long"))
+    of, whole, cut, number = own_names(docs, "of_source", "whole_passes", "cut_hash", "copy_number")
+    cuts = cuts.select(F.col("source").alias(of), F.col("whole").alias(whole), F.col("cut").alias(cut))
+    times = F.least(F.col(whole) + (hashed < F.col(cut)).cast("long"), F.lit(most).cast("long"))
     return (
-        docs.join(cuts, _same(F.col(source).cast("string"), F.col("_s")))
-        .withColumn("_times", F.explode(F.when(times > 0, F.sequence(F.lit(1).cast("long"), times))))
+        docs.join(cuts, _same(F.col(source).cast("string"), F.col(of)))
+        .withColumn(number, F.explode(F.when(times > 0, F.sequence(F.lit(1).cast("long"), times))))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

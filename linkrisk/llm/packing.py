@@ -105,7 +105,7 @@ def tokens(docs: DataFrame, text: str, key: str, model: str, end: int) -> DataFr
         from linkrisk.llm.encoding import Encoder, binary_rows, with_end
 
         encoder = Encoder.of_worker(model)
-        for batch in by_size(batches, "body"):
+        for batch in by_size(batches, "body", 4_000_000):
             ids, n = with_end(*encoder.encode(batch.column("body")), end)
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("key"), binary_rows(ids, n), pa.array(n)], names=["row", "key", "ids", "n"])
 

@@ -36,7 +36,7 @@ WORDS = r"len(regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+'))"
 MIX_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, CAST({WORDS.format('text')} AS BIGINT) AS size,
-         {HASH60.format("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h FROM documents),
+         {HASH60.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')")} AS h FROM documents),
 sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 placed AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM sizes),
 weighed AS (SELECT *, (place - 1) % 3 + 1 AS weight, 3 * source_size AS bound FROM placed),

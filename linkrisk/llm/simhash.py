@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from linkrisk.llm.common import map_batches, modest_batches, remembered, with_fields
+from linkrisk.llm.common import map_batches, modest_batches, own_names, remembered, with_fields
 from linkrisk.session import write_scratch
 
 SEED = 42
@@ -567,11 +567,12 @@ def keep_one(
     rooted = nodes.join(roots, F.col("h") == F.col("node"), "left").select("h", "first", F.coalesce("root", "h").alias("root"))
     kept = rooted.groupBy("root").agg(F.min(F.struct("first", "h")).alias("one")).select("one.first", "one.h")
     times = marked.groupBy(F.col("h").alias("g"), F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("times"))
-    kept = kept.join(times, (F.col("h") == F.col("g")) & F.col("first").eqNullSafe(F.col("k"))).select(F.col("h").alias("_h"), F.col("first").alias("_first"), "times")
-    kept = write_scratch(kept, "dedupe-kept").withColumnRenamed("times", "_times")
-    found = docs.join(kept, (F.md5(body) == F.col("_h")) & F.col(key).eqNullSafe(F.col("_first")))
+    kept = kept.join(times, (F.col("h") == F.col("g")) & F.col("first").eqNullSafe(F.col("k"))).select(F.col("h").alias("h"), "first", "times")
+    of_text, of_key, times = own_names(docs, "of_text", "of_key", "times_held")
+    kept = write_scratch(kept.toDF(of_text, of_key, times), "dedupe-kept")
+    found = docs.join(kept, (F.md5(body) == F.col(of_text)) & F.col(key).eqNullSafe(F.col(of_key)))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    single = found.where("_times = 1").select(*columns)
-    if kept.where("_times > 1").isEmpty():
+    single = found.where(F.col(times) == 1).select(*columns)
+    if kept.where(F.col(times) > 1).isEmpty():
         return single
-    return single.unionByName(found.where("_times > 1").dropDuplicates(["_h", "_first"]).select(*columns))
+    return single.unionByName(found.where(F.col(times) > 1).dropDuplicates([of_text, of_key]).select(*columns))

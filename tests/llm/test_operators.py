@@ -81,6 +81,26 @@ def test_mix(docs, empty):
     assert mixing.copies(empty).collect() == [] and mixing.mix(empty).collect() == []
 
 
+def test_mix_splits_a_hot_key(spark):
+    rows = [(None if i % 3 == 0 else i, _prose(i, 10 + i % 9), "ab"[i % 5 == 0]) for i in range(900)]
+    got = mixing.copies(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, targets = Counter(), {}
+    for r in got:
+        taken[r.source_size] += r.taken
+        targets[r.source_size] = r.target
+    assert len(targets) == 2 and all(abs(taken[s] - t) <= 18 for s, t in targets.items())
+
+
+def test_helper_names_as_columns(spark):
+    names = "of_source whole_passes cut_hash copy_number of_text of_key times_held _s _whole _cut _copy _h _first _times h size hash first times".split()
+    rows = [(i, _prose(i // 2, 60), "ab"[i % 2], *[f"{n}{i}" for n in names]) for i in range(12)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    assert common.own_names(docs, "h", "new") == ["__h", "new"]
+    assert simhash.keep_one(docs).columns == docs.columns and simhash.keep_one(docs).count() == 6
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and {tuple(r) for r in mixed.collect()} <= set(rows)
+
+
 def test_mix_targets_share_the_excess(spark):
     sizes = spark.createDataFrame([("a", 1000), ("b", 10), ("c", 100), (None, 400), ("d", 0)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.targets(sizes).collect()}
