@@ -175,6 +175,10 @@ def base_failed() -> "F.Column":
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def keeps(most_covered: float = 0.3, longest: int = 100) -> "F.Column":
-    """The verdict: long enough, few repeated words, little text in long repeats, no very long repeat."""
+def keeps(most_covered: float = 0.2, longest: int = 50) -> "F.Column":
+    """The verdict: long enough, few repeated words, little text in long repeats, no very long repeat.
+
+    A line or two that stand twice in a page of text pass; a fifth of the words in repeats of ten words or more, or one
+    passage of over fifty words twice, does not.
+    """
     return ~base_failed() & (F.col("covered_words") <= most_covered * F.col("n_words")) & (F.col("longest_repeat") <= longest)

@@ -180,6 +180,21 @@ def test_repetition(docs, empty):
     assert repetition.repeats(empty).collect() == []
 
 
+def test_only_the_repeats_decide(spark):
+    text = _prose(70, 400).split()
+    line = _prose(71, 12).split()
+    rows = [
+        ("clean", text),
+        ("one line twice", [*text[:100], *line, *text[100:200], *line]),
+        ("lines", [*line, *text[:30], *line, *text[30:60], *_prose(72, 12).split()]),
+        ("passage", [*text, *text[20:75]]),
+        ("short", text[:40]),
+    ]
+    measured = repetition.repeats(spark.createDataFrame([(n, " ".join(w)) for n, w in rows], "doc_id string, text string"))
+    got = {r.doc_id: (r.base, r.kept) for r in measured.select("doc_id", repetition.base_failed().alias("base"), repetition.keeps().alias("kept")).collect()}
+    assert got == {"clean": (False, True), "one line twice": (False, True), "lines": (False, False), "passage": (False, False), "short": (True, False)}
+
+
 def test_longest_repeats_against_brute_force():
     r = np.random.default_rng(5)
     for size in (1, 2, 30, 200):
