@@ -55,7 +55,7 @@ def get_table(spark: SparkSession, root: str, name: str, version: int = 1) -> Da
     path = table_path(root, name, version)
     keyed = _keyed(spark, path)
     if keyed is not None and keyed[1]:
-        return _read_parts(spark, list(keyed[1].values()))
+        return _read_parts(spark, keyed[1])
     snapshots = _children(spark, path, "snapshot")
     if snapshots:
         return spark.read.parquet(f"{path}/snapshot={snapshots[-1]}")
@@ -120,9 +120,12 @@ def _keyed(spark: SparkSession, path: str) -> tuple[int, dict[int, str], int] |
     return parts[0], newest, snapshots[-1] + 1 if snapshots else 0
 
 
-def _read_parts(spark: SparkSession, folders: list[str]) -> DataFrame:
-    several = len({f.rsplit("/", 1)[0] for f in folders}) > 1  # a later snapshot may have more columns
-    return spark.read.option("mergeSchema", several).parquet(*folders)
+def _read_parts(spark: SparkSession, newest: dict[int, str], wanted: Sequence[int] | None = None) -> DataFrame:
+    """The wanted partitions, or all. Every merge writes all columns that the table has, so the last snapshot names them."""
+    last = max(newest.values(), key=lambda folder: int(folder.rsplit("/snapshot=", 1)[1].split("/")[0]))
+    folders = [newest[p] for p in (newest if wanted is None else wanted) if p in newest]
+    schema = spark.read.parquet(last).schema
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def upsert_table(
@@ -144,8 +147,7 @@ def upsert_table(
     if newest:
         incoming = write_scratch(incoming, f"upsert-{name}")
         met = [r[0] for r in incoming.select(part).distinct().collect()]  # parts at most
-        folders = [newest[p] for p in met if p in newest]
-        existing = _read_parts(spark, folders) if folders else None
+        existing = _read_parts(spark, newest, met)
     else:
         existing = get_table(spark, root, name, version)
     merged = incoming if existing is None else merge_rows(existing, incoming, keys, event_time)

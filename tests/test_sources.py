@@ -177,6 +177,9 @@ def test_upsert_replaces_the_partitions_it_meets(spark, root):
     rows = {r.k: (r.v, r.more) for r in stored.collect()}
     assert len(rows) == 502 and stored.columns == ["k", "v", "more"]
     assert rows[3] == ("new", 1) and rows[1_000] == ("added", 2) and rows[None] == ("null", 3) and rows[4] == ("v4", None)
+    tables.upsert_table(spark.createDataFrame([(7, "x")], "k BIGINT, v STRING"), root, "t", "k")  # other partitions, fewer columns
+    assert tables.read_table(spark, root, "t").where("k = 3").collect() == [(3, "new", 1)]
+    stored = tables.read_table(spark, root, "t")
     again = tables.upsert_table(change, root, "t", "k")
     assert sorted(map(str, again.collect())) == sorted(map(str, stored.collect()))
 
