@@ -17,7 +17,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from linkrisk.llm.common import map_batches, modest_batches, own_names, remembered, with_fields
 from linkrisk.session import write_scratch
@@ -496,6 +496,33 @@ def meet(cells: DataFrame, joined: DataFrame, compared: DataFrame, alike, least:
     return joined, compared
 
 
+def _rows_of(docs: DataFrame, body: Column, key: str, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose MD5 of ``body`` and key are in ``kept``, with how often they occur; of fully equal (key, text) rows one."""
+    of_text, of_key, times = own_names(docs, "of_text", "of_key", "times_held")
+    kept = write_scratch(kept.toDF(of_text, of_key, times), "dedupe-kept")
+    found = docs.join(kept, (F.md5(body) == F.col(of_text)) & F.col(key).eqNullSafe(F.col(of_key)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = found.where(F.col(times) == 1).select(*columns)
+    if kept.where(F.col(times) > 1).isEmpty():
+        return single
+    return single.unionByName(found.where(F.col(times) > 1).dropDuplicates([of_text, of_key]).select(*columns))
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 3, radius: int = 3) -> DataFrame:
+    """``docs`` with one document of each class of ``classes``: that with the least key, all columns as they were.
+
+    Documents are alike by their fingerprints alone, directly or over others; words are not compared
+    (``keep_one`` does that). Null and empty texts and texts without words are one class. A null key stays only
+    where its class has no other; equal keys with different texts are told apart by the MD5 of the text, and of
+    fully equal (key, text) rows one stays. An empty table gives an empty result; helper names never clash.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    who = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.md5(body).alias("h"))
+    found = classes(docs.select(who.alias("who"), body.alias("text")), "text", "who", size, radius)
+    kept = found.where("who = component_id").groupBy("who").agg(F.count(F.lit(1)).alias("times"))
+    return _rows_of(docs, body, key, kept.select("who.h", "who.key", "times"))
+
+
 def keep_one(
     docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = 4, salts: tuple[int, ...] = (0, 1, 2, 3, 4, 5), size: int = 5, least: float = 0.8
 ) -> DataFrame:
@@ -568,11 +595,4 @@ def keep_one(
     kept = rooted.groupBy("root").agg(F.min(F.struct("first", "h")).alias("one")).select("one.first", "one.h")
     times = marked.groupBy(F.col("h").alias("g"), F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("times"))
     kept = kept.join(times, (F.col("h") == F.col("g")) & F.col("first").eqNullSafe(F.col("k"))).select(F.col("h").alias("h"), "first", "times")
-    of_text, of_key, times = own_names(docs, "of_text", "of_key", "times_held")
-    kept = write_scratch(kept.toDF(of_text, of_key, times), "dedupe-kept")
-    found = docs.join(kept, (F.md5(body) == F.col(of_text)) & F.col(key).eqNullSafe(F.col(of_key)))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    single = found.where(F.col(times) == 1).select(*columns)
-    if kept.where(F.col(times) > 1).isEmpty():
-        return single
-    return single.unionByName(found.where(F.col(times) > 1).dropDuplicates([of_text, of_key]).select(*columns))
+    return _rows_of(docs, body, key, kept)

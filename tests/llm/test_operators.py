@@ -366,6 +366,41 @@ def test_keep_one(docs, empty):
     assert simhash.keep_one(empty).collect() == []
 
 
+def _first_of_each(rows, radius=3):
+    """Brute force: the rows (key, text) that stand for their classes, every fingerprint compared with every other."""
+    prints = sorted({_fingerprint(t) for _, t in rows})
+    root = {p: p for p in prints}
+    for i, a in enumerate(prints):
+        for b in prints[:i]:
+            if (a ^ b).bit_count() <= radius and root[a] != root[b]:
+                gone, stays = root[a], root[b]
+                root = {p: stays if x == gone else x for p, x in root.items()}
+    groups = defaultdict(list)
+    for k, t in rows:
+        groups[root[_fingerprint(t)]].append((k is None, k or 0, hashlib.md5((t or "").encode()).hexdigest(), k, t or ""))
+    return Counter(min(g)[3:] for g in groups.values())
+
+
+def test_one_of_each(spark, docs, empty):
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert Counter((x.doc_id, x.text or "") for x in kept.collect()) == _first_of_each([t[:2] for t in TEXTS])
+    assert simhash.one_of_each(empty).collect() == []
+    r = random.Random(21)
+    rows = []
+    for i in range(12):  # chains of edits: classes whose ends are not within 3 bits of each other
+        words = _prose(700 + i, 400).split()
+        for step in range(r.randint(1, 8)):
+            rows.append((r.choice([None, 7, r.randrange(1000)]), " ".join(words)))
+            words[r.randrange(400)] = f"edit{step}"
+    rows += rows[::5] + [(i, "a third of the table is this text") for i in range(60)] + [(None, None), (3, ""), (3, " ")]
+    r.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("who", "times", "h", "of_text", "component_id")})
+    found = simhash.one_of_each(frame)
+    assert found.columns == frame.columns
+    assert Counter((x.doc_id, x.text or "") for x in found.collect()) == _first_of_each(rows)
+
+
 def test_crowds_lose_no_pair(spark, monkeypatch):
     monkeypatch.setattr(simhash, "ALL_PAIRS", 5)
     r = random.Random(11)
@@ -506,6 +541,9 @@ def test_pipeline(spark, docs, empty):
         if name == "quality":
             left = {r.doc_id for r in out.collect()}
             assert 8 not in left and 6 not in left and {0, 7, 20, 49} <= left
+        if name == "near_duplicates":
+            before = [(r.doc_id, r.text) for r in step.collect()]
+            assert Counter((r.doc_id, r.text) for r in out.collect()) == _first_of_each(before)
         step = out
     pieces = corpus_pipeline.STAGES[-1][1](spark, step, "")
     assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in step.collect()}
