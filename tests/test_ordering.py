@@ -145,6 +145,37 @@ def test_even_median_and_hot_value(spark, monkeypatch, bin_rows):
     assert prep.column_medians(hot, ["v"]).first()[0] == statistics.median(values)
 
 
+def test_medians_of_many_columns_count_only_around_the_middle(spark):
+    r = random.Random(5)
+    rows = [
+        (r.gauss(0, 1), r.choice([1.0, 1.0, 2.0, None]), r.choice([float("nan"), float("inf"), 3.0]), float(i), None)
+        for i in range(40_000)
+    ]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    got = prep.column_medians(frame, frame.columns).first()
+    known = [[x for x in column if x is not None] for column in zip(*rows)]
+    assert [got.a, got.b, got.d] == [statistics.median(known[i]) for i in (0, 1, 3)]
+    middle = sorted(known[2], key=lambda x: (x != x, 0 if x != x else x))[20_000]
+    assert got.c == middle == float("inf") and got.e is None
+    counted = prep._bracketed(frame, prep._brackets(frame, frame.columns, prep.MEDIAN_SLACK))
+    assert counted.where("column in ('a', 'd')").count() < 400
+
+
+def test_a_bracket_that_misses_the_median_is_widened(spark, monkeypatch):
+    right, slacks = prep._brackets, []
+
+    def sometimes_wrong(values, columns, slack):
+        slacks.append(slack)
+        wrong = {c: (n, 90.0, 95.0) for c, (n, _, _) in right(values, columns, slack).items()}
+        return wrong if len(slacks) == 1 else right(values, columns, slack)
+
+    monkeypatch.setattr(prep, "_brackets", sometimes_wrong)
+    rows = spark.range(100).selectExpr("cast(id as double) as v", "cast(id + 1000 as double) as w")
+    assert tuple(prep.column_medians(rows, ["v", "w"]).first()) == (49.5, 1049.5)
+    assert len(slacks) == 2 and slacks[1] > slacks[0]
+    assert tuple(prep.column_medians(rows.limit(0), ["v", "w"]).first()) == (None, None)
+
+
 @pytest.mark.parametrize("bin_rows", [2, 1_000_000])
 def test_auc_with_ties_equals_pair_counting(spark, monkeypatch, bin_rows):
     monkeypatch.setattr(ordering, "BIN_ROWS", bin_rows)
