@@ -94,6 +94,10 @@ SVM_TOLERANCE = 1e-3
 # Width of the random Fourier features that stand for the RBF kernel.
 RBF_FEATURES = 100
 
+# Rows that are worth a task of their own in every pass of a learner, and rows of one task at most.
+LEAST_TASK_ROWS = 2_000
+MOST_TASK_ROWS = 500_000
+
 
 def prep_stages(train: DataFrame, features: Sequence[str] = schemas.FEATURES) -> list:
     """Projection and assembler with the statistics of ``train``: one row of them is read."""
@@ -183,8 +187,21 @@ def learner(
     raise ValueError(f"unknown model {name}")
 
 
+def spread_rows(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` rows in partitions of equal size, one for each core where they are enough; few rows stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = min(cores, n // LEAST_TASK_ROWS)
+    if parts < 2:
+        return rows
+    return rows.repartition(parts * math.ceil(n / (parts * MOST_TASK_ROWS)))
+
+
 def prepare_training(train: DataFrame, features: Sequence[str] = schemas.FEATURES) -> tuple[list, DataFrame, dict]:
-    """Preparation stages, the prepared training rows, and the totals learners need."""
+    """Preparation stages, the prepared training rows, and the totals learners need.
+
+    A few columns of numbers make small partitions, which adaptive execution joins by their bytes; learners read them
+    hundreds of times and need them spread over all cores, so ``spread_rows`` deals them out by their number.
+    """
     stages = prep_stages(train, features)
     ready = prep.add_weights(train.withColumn(LABEL, F.col(LABEL).cast("int")), LABEL, WEIGHT)
     prepared = PipelineModel(stages).transform(ready)
@@ -193,9 +210,11 @@ def prepare_training(train: DataFrame, features: Sequence[str] = schemas.FEATURE
         F.sum(WEIGHT).alias("weight"),
         sum((F.avg(c) for c in scaled), F.lit(0.0)).alias("mean"),
         sum((F.avg(c * c) for c in scaled), F.lit(0.0)).alias("square"),
+        F.count("*").alias("rows"),
     ).first()
     width = len(list(features))
     spread = totals["square"] / width - (totals["mean"] / width) ** 2
+    prepared = spread_rows(prepared, totals["rows"])
     return stages, prepared, {"total_weight": totals["weight"], "spread": spread, "features": list(features)}
 
 
