@@ -94,7 +94,7 @@ SVM_TOLERANCE = 1e-3
 # Width of the random Fourier features that stand for the RBF kernel.
 RBF_FEATURES = 100
 
-# Rows that are worth a task of their own in every pass of a learner, and rows of one task at most.
+# Rows that are worth a task of their own in every pass of the perceptron, and rows of one task at most.
 LEAST_TASK_ROWS = 2_000
 MOST_TASK_ROWS = 500_000
 
@@ -187,21 +187,23 @@ def learner(
     raise ValueError(f"unknown model {name}")
 
 
-def spread_rows(rows: DataFrame, n: int) -> DataFrame:
-    """``n`` rows in partitions of equal size, one for each core where they are enough; few rows stay as they are."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    parts = min(cores, n // LEAST_TASK_ROWS)
+def spread_rows(name: str, rows: DataFrame) -> DataFrame:
+    """The rows of a learner that reads them hundreds of times at some microseconds a row, the perceptron, dealt evenly over the cores.
+
+    Adaptive execution joins the partitions of a few columns of numbers by their bytes, whatever a pass costs. Few rows,
+    and those of the other learners, stay as they are.
+    """
+    if name != NETWORK:
+        return rows
+    n = rows.count()
+    parts = min(rows.sparkSession.sparkContext.defaultParallelism, n // LEAST_TASK_ROWS)
     if parts < 2:
         return rows
     return rows.repartition(parts * math.ceil(n / (parts * MOST_TASK_ROWS)))
 
 
 def prepare_training(train: DataFrame, features: Sequence[str] = schemas.FEATURES) -> tuple[list, DataFrame, dict]:
-    """Preparation stages, the prepared training rows, and the totals learners need.
-
-    A few columns of numbers make small partitions, which adaptive execution joins by their bytes; learners read them
-    hundreds of times and need them spread over all cores, so ``spread_rows`` deals them out by their number.
-    """
+    """Preparation stages, the prepared training rows, and the totals learners need."""
     stages = prep_stages(train, features)
     ready = prep.add_weights(train.withColumn(LABEL, F.col(LABEL).cast("int")), LABEL, WEIGHT)
     prepared = PipelineModel(stages).transform(ready)
@@ -210,18 +212,16 @@ def prepare_training(train: DataFrame, features: Sequence[str] = schemas.FEATURE
         F.sum(WEIGHT).alias("weight"),
         sum((F.avg(c) for c in scaled), F.lit(0.0)).alias("mean"),
         sum((F.avg(c * c) for c in scaled), F.lit(0.0)).alias("square"),
-        F.count("*").alias("rows"),
     ).first()
     width = len(list(features))
     spread = totals["square"] / width - (totals["mean"] / width) ** 2
-    prepared = spread_rows(prepared, totals["rows"])
     return stages, prepared, {"total_weight": totals["weight"], "spread": spread, "features": list(features)}
 
 
 def fit_model(name: str, train: DataFrame, params: dict | None = None, features: Sequence[str] = schemas.FEATURES) -> PipelineModel:
     """Preparation and learner fitted on ``train`` (features and ``label``) as one model."""
     stages, prepared, totals = prepare_training(train, features)
-    fitted = Pipeline(stages=learner(name, params, **totals)).fit(prepared)
+    fitted = Pipeline(stages=learner(name, params, **totals)).fit(spread_rows(name, prepared))
     return PipelineModel([*stages, *fitted.stages])
 
 
@@ -231,7 +231,7 @@ def train_all(train: DataFrame, names: Sequence[str] | None = None, overrides: d
     prepared = prepared.persist()
     models = {}
     for name in names or DEFAULTS:
-        fitted = Pipeline(stages=learner(name, (overrides or {}).get(name), **totals)).fit(prepared)
+        fitted = Pipeline(stages=learner(name, (overrides or {}).get(name), **totals)).fit(spread_rows(name, prepared))
         models[name] = PipelineModel([*stages, *fitted.stages])
     prepared.unpersist()
     return models
@@ -261,7 +261,7 @@ def search(
         model = fit_model(name, train, None, features)
         return model, train.sparkSession.createDataFrame([], "model string, params string, mean_test_score double, std_test_score double")
     stages, prepared, totals = prepare_training(train, features)
-    prepared = prepared.withColumn(fold_column, F.col(fold_column).cast("int")).persist()
+    prepared = spread_rows(name, prepared.withColumn(fold_column, F.col(fold_column).cast("int"))).persist()
     pipeline = Pipeline(stages=[])
     grid = [{pipeline.stages: learner(name, params, **totals)} for params in candidates]
     validator = CrossValidator(

@@ -137,20 +137,19 @@ def test_fewer_training_rows_than_k(spark):
     assert (hit.prediction, hit.score) == (1, 1.0)
 
 
-def test_training_rows_are_spread_by_their_number(spark):
+def test_training_rows_of_the_perceptron_are_spread_by_their_number(spark):
     """Few bytes a row: adaptive execution would leave all of them in one task, for hundreds of passes."""
     copies = spark.range(0, 80, 1, 1).withColumnRenamed("id", "copy")
     rows = cut_lineage(pages(spark).coalesce(1).crossJoin(copies).withColumn("page_id", F.col("page_id") + 240 * F.col("copy")).coalesce(1))
     assert rows.rdd.getNumPartitions() == 1
-    _, prepared, totals = models.prepare_training(rows)
+    prepared = models.spread_rows(models.NETWORK, models.prepare_training(rows)[1])
     sizes = [r["count"] for r in prepared.groupBy(F.spark_partition_id()).count().collect()]
     cores = spark.sparkContext.defaultParallelism
     assert sum(sizes) == 240 * 80 and len(sizes) == min(cores, 240 * 80 // models.LEAST_TASK_ROWS) > 1
     assert max(sizes) <= min(sizes) + 8
     assert prepared.select("page_id").distinct().count() == 240 * 80
-    models.learner(models.NETWORK, {"maxIter": 1}, **totals)
-    few = rows.where("copy = 0")
-    assert models.prepare_training(few)[1].rdd.getNumPartitions() == 1
+    assert models.spread_rows(models.NETWORK, rows.where("copy = 0")).rdd.getNumPartitions() == 1
+    assert models.spread_rows(models.FOREST, rows).rdd.getNumPartitions() == 1
 
 
 def test_bayes_equals_spark(spark, split):
